@@ -38,7 +38,8 @@ def social_rank(edges: DataFrame, rounds: int = 25, dmax: float = 30.0,
         edges = edges.withColumn("out_chunk", F.lit(0)).withColumn("in_chunk", F.lit(0))
 
     # each edge carries what it passes on and the chunks of its target, once for all rounds
-    source = spread(fans.select(F.col("v").alias("src"), "out_fan", (1.0 / F.col("out_degree")).alias("pass_on")),
+    sending = fans.filter("out_degree > 0")
+    source = spread(sending.select(F.col("v").alias("src"), "out_fan", (1.0 / F.col("out_degree")).alias("pass_on")),
                     "out_fan", "out_chunk", split.by_source)
     target = spread(fans.select(F.col("v").alias("dst"), F.col("out_fan").alias("dst_fan"), "in_fan"),
                     "in_fan", "in_chunk", split.by_target)
@@ -46,7 +47,7 @@ def social_rank(edges: DataFrame, rounds: int = 25, dmax: float = 30.0,
         edges.join(source.drop("out_fan"), keys("src", "out_chunk", split.by_source))
              .join(target, keys("dst", "in_chunk", split.by_target))
              .select("src", "out_chunk", "dst", "dst_fan", "pass_on"), "graph")
-    ranks = run.save(fans.filter("out_degree > 0").select(
+    ranks = run.save(sending.select(
         "v", F.lit(1.0).alias("r"), F.col("out_fan").alias("fan"), F.lit(0.0).alias("moved")), "ranks-0")
 
     for i in range(rounds):

@@ -240,7 +240,7 @@ def _ranks(rounds: int = 25, dmax: float = 30.0) -> list[str]:
 
 _DEGREES = """SELECT v, SUM(o) AS out_degree, SUM(i) AS in_degree FROM (
     SELECT src AS v, 1 AS o, 0 AS i FROM rank_edge UNION ALL SELECT dst, 0, 1 FROM rank_edge) GROUP BY v"""
-_FEED = """LEFT JOIN (SELECT authortime, timestamp AS comment_timestamp, author AS comment_author, content AS comment
+_FEED = """LEFT JOIN (SELECT authortime, CAST(timestamp AS VARCHAR) AS comment_timestamp, author AS comment_author, content AS comment
     FROM reactions) c ON c.authortime = p.author || '$' || p.timestamp"""
 _NEWEST_FRIEND_OP = """
     SELECT username, friend, op FROM (

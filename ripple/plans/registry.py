@@ -261,12 +261,14 @@ def posts_append(f):
 
 @query
 def friend_feed(f):
-    return feeds.friend_feed(f.friend_edge(), f.posts(), f.reactions())
+    return feeds.friend_feed(f.friend_edge(), f.posts(), f.reactions()) \
+        .withColumn("comment_timestamp", F.col("comment_timestamp").cast("string"))
 
 
 @query
 def wall_feed(f):
-    return feeds.wall_feed(f.friend_edge(), f.posts(), f.reactions())
+    return feeds.wall_feed(f.friend_edge(), f.posts(), f.reactions()) \
+        .withColumn("comment_timestamp", F.col("comment_timestamp").cast("string"))
 
 
 # -- people ------------------------------------------------------------------------
