@@ -25,7 +25,7 @@ from ripple.operators.edges import news_for_date
 REGISTERED = (
     "weighted_edges", "degree_table", "social_rank", "friend_feed", "wall_feed", "friend_expand_visible",
     "friends_online", "friend_state", "profile_latest", "room_state", "posts_append", "keyword_index",
-    "keyword_top5", "news_search", "stream_friend_state",
+    "news_search", "stream_friend_state",
 )
 
 
