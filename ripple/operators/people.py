@@ -1,4 +1,7 @@
-"""People search, presence, relationships and friend expansion."""
+"""People search, presence, relationships and friend expansion.
+
+``friend_edge`` holds each (username, friend) once, as it comes from sets.
+"""
 
 from __future__ import annotations
 
@@ -40,7 +43,7 @@ def friends_online(friend_edge: DataFrame, users: DataFrame, now_ms: int, viewer
 def relationship(friend_edge: DataFrame, pairs: DataFrame) -> DataFrame:
     """For (viewer, owner): self, friend or stranger."""
     friends = friend_edge.select(F.col("username").alias("viewer"), F.col("friend").alias("owner"),
-                                 F.lit(True).alias("is_friend")).distinct()
+                                 F.lit(True).alias("is_friend"))
     return pairs.join(friends, ["viewer", "owner"], "left").select(
         "viewer", "owner",
         F.when(F.col("viewer") == F.col("owner"), "self").when(F.col("is_friend"), "friend")
@@ -75,15 +78,14 @@ def friend_expand_visible(friend_edge: DataFrame, users: DataFrame, requests: Da
     A friend shows when it is a friend of the viewer, who is one of their own
     friends, or shares the viewer's affiliation.
     """
-    edges = friend_edge.distinct()
     # the viewer's affiliation joins the requests, before they fan out
     asked = requests.select("viewer", "user").distinct().join(
         users.select(F.col("username").alias("viewer"), F.col("affiliation").alias("viewer_affiliation")),
         "viewer", "left")
-    mine = edges.select(F.col("username").alias("viewer"), F.col("friend"), F.lit(True).alias("is_friend"))
+    mine = friend_edge.select(F.col("username").alias("viewer"), F.col("friend"), F.lit(True).alias("is_friend"))
     about = users.select(F.col("username").alias("friend"), "firstname", "affiliation")
     # names join the edges, also before the fan-out, once per edge
-    theirs = edges.filter("username <> friend").join(about, "friend").withColumnRenamed("username", "user")
+    theirs = friend_edge.filter("username <> friend").join(about, "friend").withColumnRenamed("username", "user")
     return asked.join(theirs, "user").join(mine, ["viewer", "friend"], "left") \
         .filter(F.col("is_friend") | (F.col("affiliation") == F.col("viewer_affiliation"))) \
         .select("viewer", "user", "friend", "firstname")
@@ -97,7 +99,7 @@ def invite_check(friend_edge: DataFrame, requests: DataFrame) -> DataFrame:
     named = requests.select(
         "request_id", "sender",
         F.explode(F.array_append(F.split("participants", ","), F.col("sender"))).alias("friend"))
-    friends = friend_edge.select(F.col("username").alias("sender"), "friend", F.lit(True).alias("is_friend")).distinct()
+    friends = friend_edge.select(F.col("username").alias("sender"), "friend", F.lit(True).alias("is_friend"))
     return named.join(friends, ["sender", "friend"], "left") \
         .groupBy("request_id", "sender").agg(F.bool_and(F.coalesce("is_friend", F.lit(False))).alias("allowed"))
 

@@ -50,6 +50,9 @@ def social_rank(edges: DataFrame, rounds: int = 25, dmax: float = 30.0,
     ranks = run.save(sending.select(
         "v", F.lit(1.0).alias("r"), F.col("out_fan").alias("fan"), F.lit(0.0).alias("moved")), "ranks-0")
 
+    run.drop("edges")
+    run.drop("degrees")
+
     for i in range(rounds):
         seen = Observation()
         following = run.save(_round(ranks, graph, split).observe(seen, F.max("moved").alias("moved")),
@@ -59,6 +62,7 @@ def social_rank(edges: DataFrame, rounds: int = 25, dmax: float = 30.0,
         moved = seen.get["moved"]
         if moved is None or moved < dmax:
             break
+    run.drop("graph")
     return ranks.select("v", "r")
 
 

@@ -125,7 +125,7 @@ def weighted_edges(f):
 
 @query
 def shared_ids(f):
-    """Empty unless names of different types coincide; posts' categories are compared with users and urls."""
+    """Empty unless a user, a url and an interest or category share a name."""
     return edges.shared_ids(f.users().select(F.col("username").alias("node")),
                             f.news().select(F.col("url").alias("node")),
                             f.user_interest().select(F.col("interest").alias("node"))
