@@ -26,9 +26,10 @@ def drop_folder(scratch: Scratch) -> None:
     scratch.drop("")
 
 
-def ranked(df: DataFrame, scratch: Scratch, keys: list[str], order: list[str], value: str,
+def ranked(df: DataFrame, scratch: Scratch, keys: list[str], order: list[str], values: dict[str, str],
            name: str = "ranked") -> DataFrame:
-    """``df`` with ``before``: the sum of ``value`` over the rows of the same keys that come earlier.
+    """``df`` with, for each item of ``values``, a column of that name: the sum of the value column over
+    the rows of the same keys that come earlier.
 
     A distributed prefix sum. Rows are range-partitioned by keys and order, so that the rows of one
     hot key lie in many partitions; the sorted rows are written once, with the partition they fell
@@ -41,16 +42,16 @@ def ranked(df: DataFrame, scratch: Scratch, keys: list[str], order: list[str], v
     sort = [F.col(c).asc_nulls_last() for c in [*keys, *order]]
     placed = scratch.save(df.repartitionByRange(*sort).sortWithinPartitions(*sort)
                           .withColumn("_part", F.spark_partition_id()), name)
-    local = placed.groupBy("_part", *keys).agg(F.sum(value).alias("_sum"))
-    by_key = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = local.select("_part", *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-                           F.coalesce(F.sum("_sum").over(by_key), F.lit(0)).alias("_offset"))
-    within = Window.partitionBy("_part", *keys).orderBy(*sort[len(keys):]) \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    rows = placed.withColumn("_within", F.coalesce(F.sum(value).over(within), F.lit(0)))
-    return rows.join(offsets.withColumnRenamed("_part", "_p"),
-                     (F.col("_part") == F.col("_p")) & _same(keys), "left") \
-        .select(*columns, (F.col("_within") + F.col("_offset")).alias("before"))
+    local = placed.groupBy("_part", *keys).agg(*[F.sum(v).alias(f"_sum_{n}") for n, v in values.items()])
+    earlier = (Window.unboundedPreceding, -1)
+    by_key = Window.partitionBy(*keys).orderBy("_part").rowsBetween(*earlier)
+    zero = F.lit(0).cast("long")
+    offsets = local.select(F.col("_part").alias("_p"), *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
+                           *[F.coalesce(F.sum(f"_sum_{n}").over(by_key), zero).alias(f"_from_{n}") for n in values])
+    within = Window.partitionBy("_part", *keys).orderBy(*sort[len(keys):]).rowsBetween(*earlier)
+    rows = placed.select("*", *[F.coalesce(F.sum(v).over(within), zero).alias(f"_in_{n}") for n, v in values.items()])
+    return rows.join(offsets, (F.col("_part") == F.col("_p")) & _same(keys)) \
+        .select(*columns, *[(F.col(f"_in_{n}") + F.col(f"_from_{n}")).alias(n) for n in values])
 
 
 def _same(keys: list[str]) -> Column:

@@ -41,7 +41,7 @@ def targets(sizes: DataFrame, scratch: Scratch, weights=WEIGHTS, share: float =
     round of sharing is one aggregate over them.
     """
     placed = ranked(sizes.withColumn("_one", F.lit(1)).withColumn("_all", F.lit(0)), scratch,
-                    ["_all"], ["source"], "_one", "sources").drop("_one", "_all")
+                    ["_all"], ["source"], {"before": "_one"}, "sources").drop("_one", "_all")
     weight = F.element_at(F.array(*[F.lit(int(w)) for w in weights]),
                           (F.col("before") % len(weights) + 1).cast("int")).cast("long")
     rows = scratch.save(placed.select("source", "source_size", weight.alias("w"),
@@ -71,7 +71,7 @@ def mix(docs: DataFrame, scratch: Scratch, weights=WEIGHTS, share: float = 1.0,
     key = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
     sized = docs.select(F.col("doc_id"), F.col("source"), n_words(text_or_empty()).alias("size"),
                         key.alias("_key"), *keep)
-    rows = ranked(sized, scratch, ["source"], ["_key", "size"], "size")
+    rows = ranked(sized, scratch, ["source"], ["_key", "size"], {"before": "size"})
     per_source = scratch.spark.read.parquet(scratch.path("ranked")).groupBy("source") \
         .agg(F.sum("size").alias("source_size"))
     cut = targets(per_source, scratch, weights, share, max_epochs).withColumnRenamed("source", "_source")

@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ripple.llm import exact_dedup, mixing
+from ripple.llm import exact_dedup, mixing, token_counts
 from ripple.llm.common import Scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, folder, "documents"), Scratch(spark, "token-counts"))
+
+
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, folder, "documents"))
 
@@ -21,7 +25,7 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op2_exact_dedup, op7_mixing)}
+    return {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op7_mixing)}
 
 
 # Equal texts by their normalised bytes; the row with most code points, then the smallest id, stays.
