@@ -23,6 +23,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from ripple.llm.bpe import BYTE_BPE, encoder
 from ripple.llm.common import Scratch, text_or_empty
@@ -30,8 +31,9 @@ from ripple.llm.common import Scratch, text_or_empty
 LIMIT = 512
 CHUNK, OVERLAP, MARGIN = 65_536, 1_024, 32
 
-_ENDS = "key string, part long, last boolean, total long, left_at array<long>, left_n array<long>, " \
-        "right_at array<long>, right_n array<long>"
+_LONG = pa.int64()
+_ENDS = pa.schema([("key", pa.string()), ("part", _LONG), ("last", pa.bool_()), ("total", _LONG),
+                   *[(c, pa.list_(_LONG)) for c in ("left_at", "left_n", "right_at", "right_n")]])
 
 
 def _count(name: str):
@@ -68,7 +70,7 @@ def _encode(name: str, chunk: int, overlap: int):
                 yield pa.RecordBatch.from_pydict({
                     "key": [row["key"]], "part": [row["part"]], "last": [row["last"]], "total": [total],
                     "left_at": [(at[left] + start).tolist()], "left_n": [before[left].tolist()],
-                    "right_at": [(at[right] + start).tolist()], "right_n": [before[right].tolist()]})
+                    "right_at": [(at[right] + start).tolist()], "right_n": [before[right].tolist()]}, schema=_ENDS)
     return run
 
 
@@ -77,7 +79,7 @@ def _huge(texts: DataFrame, scratch: Scratch, name: str, chunk: int, overlap: in
     done, attempt = None, 0
     while True:
         ends = texts.mapInArrow(_cut(chunk, overlap), "key string, part long, last boolean, piece string") \
-            .repartition("key", "part").mapInArrow(_encode(name, chunk, overlap), _ENDS).dropDuplicates(["key", "part"])
+            .repartition("key", "part").mapInArrow(_encode(name, chunk, overlap), from_arrow_schema(_ENDS)).dropDuplicates(["key", "part"])
         by_text = Window.partitionBy("key").orderBy("part")
         spliced = ends.withColumn("next_at", F.lead("left_at").over(by_text)) \
             .withColumn("next_n", F.lead("left_n").over(by_text)) \
