@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ripple.llm import exact_dedup, mixing, packing, token_counts
+from ripple.llm import exact_dedup, language_id, mixing, packing, token_counts
 from ripple.llm.common import Scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,11 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, folder, "documents"))
 
 
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return language_id.identify(docs, language_id.train(docs, Scratch(spark, "language-id")))
+
+
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), Scratch(spark, "packing"))
 
@@ -29,7 +34,7 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op5_packing, op7_mixing)}
+    return {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_language_id, op5_packing, op7_mixing)}
 
 
 # Equal texts by their normalised bytes; the row with most code points, then the smallest id, stays.
