@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ripple.llm import exact_dedup, language_id, mixing, packing, token_counts
+from ripple.llm import bagminhash, exact_dedup, language_id, mixing, packing, token_counts
 from ripple.llm.common import Scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,12 +29,16 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), Scratch(spark, "packing"))
 
 
+def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return bagminhash.near_duplicates(table(spark, folder, "documents"), Scratch(spark, "near-duplicates"))
+
+
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"), Scratch(spark, "mixing"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_language_id, op5_packing, op7_mixing)}
+    return {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_language_id, op5_packing, op6_minhash_near_dedup, op7_mixing)}
 
 
 # Equal texts by their normalised bytes; the row with most code points, then the smallest id, stays.
