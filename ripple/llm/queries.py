@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ripple.llm import bagminhash, exact_dedup, language_id, mixing, packing, substring_dedup, token_counts
+from ripple.llm import bagminhash, exact_dedup, language_id, mixing, packing, substring_dedup, suffix_dedup, token_counts
 from ripple.llm.common import Scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,12 +37,16 @@ def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"), Scratch(spark, "mixing"))
 
 
+def op8_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, folder, "documents"), Scratch(spark, "suffix-dedup"))
+
+
 def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, folder, "documents"), Scratch(spark, "substring-dedup"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_language_id, op5_packing, op6_minhash_near_dedup, op7_mixing, op9_substring_dedup)}
+    return {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_language_id, op5_packing, op6_minhash_near_dedup, op7_mixing, op8_suffix_array_dedup, op9_substring_dedup)}
 
 
 # Equal texts by their normalised bytes; the row with most code points, then the smallest id, stays.
