@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ripple.llm import bagminhash, exact_dedup, language_id, mixing, packing, substring_dedup, suffix_dedup, token_counts
+from ripple.llm import bagminhash, exact_dedup, language_id, mixing, packing, spotsigs, substring_dedup, suffix_dedup, token_counts
 from ripple.llm.common import Scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,10 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language_id.identify(docs, language_id.train(docs, Scratch(spark, "language-id")))
 
 
+def op4_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return spotsigs.fingerprints(table(spark, folder, "documents"), Scratch(spark, "fingerprints"))
+
+
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), Scratch(spark, "packing"))
 
@@ -46,7 +50,7 @@ def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_language_id, op5_packing, op6_minhash_near_dedup, op7_mixing, op8_suffix_array_dedup, op9_substring_dedup)}
+    return {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_language_id, op4_document_fingerprints, op5_packing, op6_minhash_near_dedup, op7_mixing, op8_suffix_array_dedup, op9_substring_dedup)}
 
 
 # Equal texts by their normalised bytes; the row with most code points, then the smallest id, stays.
