@@ -190,7 +190,7 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
-    """One row per document: ``doc_id``, ``class_id`` (the smallest id of its class), ``class_size``, ``kept``."""
+    """One row per document: ``doc_id``, ``class_id`` (the smallest id of its class), ``class_size``, ``kept``, ``text_md5``."""
     rows = docs.select("doc_id", text_or_empty().alias("_text"), F.md5(text_or_empty().cast("binary")).alias("hash"))
     signed = scratch.save(rows.mapInArrow(_sign, "doc_id long, hash string, signature binary"), "signed")
     nodes = scratch.save(signed.groupBy("hash").agg(F.first("signature").alias("signature"))
@@ -225,7 +225,9 @@ def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
         links = links.unionByName(scratch.save(_verified(more, texts_of(more, "across-texts")), "more-links"))
         labels = components(links, scratch, "second")
     classed = signed.select("doc_id", "hash").join(nodes.select("hash", "node"), "hash").join(labels, "node", "left") \
-        .select("doc_id", F.coalesce("label", "node").alias("label"))
-    classes = classed.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
+        .select("doc_id", "hash", F.coalesce("label", "node").alias("label"))
+    classes = classed.groupBy("label").agg(F.min(F.struct("doc_id", "hash")).alias("first"), F.count(F.lit(1)).alias("class_size"))
     return classed.join(classes, "label").select(
-        "doc_id", "class_id", "class_size", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
+        "doc_id", F.col("first.doc_id").alias("class_id"), "class_size",
+        (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("hash") == F.col("first.hash"))).alias("kept"),
+        F.col("hash").alias("text_md5"))

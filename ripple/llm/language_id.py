@@ -273,3 +273,17 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
     return docs.select("doc_id", "text", F.coalesce(remainder() == 2, F.lit(False)).alias("held_out")).mapInArrow(
         run, "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean, cross_entropy double")
+
+
+def accepted(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs`` whose text is not rejected."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for lo in range(0, b.num_rows, 256):
+                part = b.slice(lo, 256)
+                found = shared.value.predict(part.column("text").to_pylist())
+                yield part.filter(pa.array([not rejected for _, _, rejected, _ in found]))
+
+    return docs.mapInArrow(run, docs.schema)

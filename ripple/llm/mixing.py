@@ -66,13 +66,13 @@ def mix(docs: DataFrame, scratch: Scratch, weights=WEIGHTS, share: float = 1.0,
         max_epochs: int = MAX_EPOCHS, seed: str = SEED, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: ``doc_id``, ``size``, ``source_size``, ``target``, ``taken``.
 
-    ``keep`` names further columns of ``docs`` to carry along.
+    ``keep`` names further columns of ``docs`` to carry along through the sort.
     """
     key = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
     sized = docs.select(F.col("doc_id"), F.col("source"), n_words(text_or_empty()).alias("size"),
                         key.alias("_key"), *keep)
     rows = ranked(sized, scratch, ["source"], ["_key", "size"], {"before": "size"})
-    per_source = scratch.spark.read.parquet(scratch.path("ranked")).groupBy("source") \
+    per_source = scratch.spark.read.schema(sized.schema).parquet(scratch.path("ranked")).groupBy("source") \
         .agg(F.sum("size").alias("source_size"))
     cut = targets(per_source, scratch, weights, share, max_epochs).withColumnRenamed("source", "_source")
     whole = F.round("target").cast("long")
@@ -82,3 +82,27 @@ def mix(docs: DataFrame, scratch: Scratch, weights=WEIGHTS, share: float = 1.0,
     return rows.join(cut, F.col("source").eqNullSafe(F.col("_source"))).withColumn("epochs", epochs.cast("long")) \
         .select("doc_id", "size", "source_size", "target",
                 (F.col("epochs") * F.col("size") + extra).cast("long").alias("taken"), *keep)
+
+
+def first_words(text: Column, n: Column) -> Column:
+    """The first ``n`` words, joined by one blank."""
+    return F.array_join(F.slice(F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1)), F.lit(1), n.cast("int")), " ")
+
+
+def mixed(docs: DataFrame, scratch: Scratch, **options) -> DataFrame:
+    """The mix itself: each document as often as it is taken, the last time up to the words taken."""
+    keyed = docs.select("doc_id", "source", "text", F.md5(text_or_empty().cast("binary")).alias("_md5"),
+                        F.struct(*docs.columns).alias("_row"))
+    plan = mix(keyed, scratch, keep=("_md5",), **options).filter("taken > 0") \
+        .groupBy(F.col("doc_id").alias("_id"), F.col("_md5").alias("_m")) \
+        .agg(F.first("size").alias("size"), F.sort_array(F.collect_list("taken")).alias("takes"))
+    # rows that repeat whole have several takes; each row stands for one of them
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_md5") == F.col("_m"))
+    rest = F.col("taken") % F.col("size")
+    each = keyed.dropDuplicates(["doc_id", "_md5"]).join(plan, same).withColumn("taken", F.explode("takes")) \
+        .withColumn("words", F.explode(F.concat(
+            F.array_repeat(F.col("size"), F.floor(F.col("taken") / F.col("size")).cast("int")),
+            F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<long>")))))
+    text = F.when(F.col("words") == F.col("size"), F.col("text")).otherwise(first_words(F.col("text"), F.col("words")))
+    fields = {"text": text, "n_chars": F.length(text).cast("long")}
+    return each.select(*[fields.get(c, F.col("_row")[c]).alias(c) for c in docs.columns])

@@ -157,7 +157,7 @@ def pack(docs: DataFrame, scratch: Scratch, tokenizer: str = BYTE_BPE, capacity:
         .withColumn("whole", F.floor(F.col("doc_tokens") / capacity)).withColumn("_one", F.lit(1))
     placed = ranked(rows, scratch, ["units"], ["doc_id", "doc_tokens"], {"rank": "_one", "whole_before": "whole"})
     # at most capacity / unit + 1 rows
-    totals = spark.read.parquet(scratch.path("ranked")).groupBy("units") \
+    totals = spark.read.schema(rows.schema).parquet(scratch.path("ranked")).groupBy("units") \
         .agg(F.count(F.lit(1)), F.sum("whole")).collect()
     histogram = {units: n for units, n, _ in totals if units}
     patterns = rounded(solve(histogram, capacity // unit), histogram, capacity // unit)

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ripple.llm import bagminhash, exact_dedup, language_id, mixing, packing, spotsigs, substring_dedup, suffix_dedup, token_counts
+from ripple.llm import (bagminhash, exact_dedup, html_extraction, language_id, mixing, packing, spotsigs, substring_dedup,
+                        suffix_dedup, token_counts)
 from ripple.llm.common import Scratch, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,8 +50,15 @@ def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, folder, "documents"), Scratch(spark, "substring-dedup"))
 
 
+def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    return html_extraction.extract(pages, html_extraction.train(pages))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_token_counts, op2_exact_dedup, op3_language_id, op4_document_fingerprints, op5_packing, op6_minhash_near_dedup, op7_mixing, op8_suffix_array_dedup, op9_substring_dedup)}
+    return {f.__name__: f for f in (
+        op1_token_counts, op2_exact_dedup, op3_language_id, op4_document_fingerprints, op5_packing,
+        op6_minhash_near_dedup, op7_mixing, op8_suffix_array_dedup, op9_substring_dedup, op10_html_extraction)}
 
 
 # Equal texts by their normalised bytes; the row with most code points, then the smallest id, stays.
