@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE, LAYOUTS = 300, 3
+SAMPLE, LAYOUTS = 300, 1_500
 TREES, DEPTH, RATE, BINS = 60, 4, 0.25, 32
 
 #: Elements of HTML by their role.
@@ -319,18 +319,19 @@ _NAMES = {
     "share": "share social sharing tags", "main": "content post entry article article-body story main main-content post-content text"}
 
 
-def layout(texts: list[str], other: list[str], g: np.random.Generator) -> tuple[str, set[str]]:
-    """A page around paragraphs, and the texts of its article (every text occurs once)."""
-    number = iter(range(10 ** 9))
-    truth: set[str] = set()
+# invisible characters at the end of each text of a layout: of the article, and of the rest
+MINE, OTHER = "\u2063", "\u2064"
 
+
+def layout(texts: list[str], other: list[str], g: np.random.Generator) -> str:
+    """A page around paragraphs."""
     def pick(options):
         return options[int(g.integers(len(options)))]
 
     def words(k: int) -> str:
         w = pick(other).split()
         s = int(g.integers(max(1, len(w) - k)))
-        return f"{' '.join(w[s:s + k])}{next(number)}"
+        return " ".join(w[s:s + k]) + OTHER
 
     def box(kind: str, tag: str, inside: str, bare: float = 0.0) -> str:
         name = f' class="{pick(_NAMES[kind].split())}"' if g.random() < .7 else f' id="{pick(_NAMES[kind].split())}"'
@@ -346,9 +347,7 @@ def layout(texts: list[str], other: list[str], g: np.random.Generator) -> tuple[
         return "".join(f"<p>{words(int(g.integers(lo, hi)))}</p>" for _ in range(k))
 
     def mine(text: str) -> str:
-        text = f"{text}{next(number)}"
-        truth.add(_SPACE.sub(" ", html.unescape(text)).strip())
-        return text
+        return text.rstrip(OTHER) + MINE
 
     def paragraph(t: str) -> str:
         u = g.random()
@@ -369,12 +368,14 @@ def layout(texts: list[str], other: list[str], g: np.random.Generator) -> tuple[
             return f"<p>{mine(words(1))}</p>"
         return f"<p>{mine(t)}</p>"
 
+    if g.random() < .25:        # a short article
+        texts = [words(int(g.integers(1, 4))) for _ in texts[:6]]
     body = [paragraph(t) for t in texts]
     for kind, chance in (("ad", .25), ("share", .2), ("aside", .1), ("form", .08)):
         if g.random() < chance:
             piece = prose(1) if kind != "share" else menu(3)
             body.insert(int(g.integers(len(body) + 1)), box(kind, "aside" if kind == "aside" else "div", piece))
-    title = f"<h1>{mine(words(int(g.integers(3, 9))))}</h1>"
+    title = f"<h1>{mine(words(int(g.integers(1, 9))))}</h1>"
     if g.random() < .2:
         title = f"<header>{title}</header>"
     article = title + "".join(body)
@@ -403,7 +404,7 @@ def layout(texts: list[str], other: list[str], g: np.random.Generator) -> tuple[
                 u = g.random()
                 inside = words(int(g.integers(2, 14))) if u < .4 else menu(5) if u < .6 else prose(int(g.integers(1, 4)))
             parts.append(box(kind, tag, inside))
-    return "<body>" + "".join(parts) + "</body>", truth
+    return "<body>" + "".join(parts) + "</body>"
 
 
 def paragraphs_of(source: str) -> list[str]:
@@ -417,19 +418,18 @@ def pick_most(g: np.random.Generator) -> int:
 
 
 def fit(sources: list[str], layouts: int = LAYOUTS, seed: int = 7) -> Trees:
-    """Trees from layouts of these pages' paragraphs."""
+    """Trees from at least ``layouts`` layouts of these pages' paragraphs, as many of each."""
     g = np.random.default_rng(seed)
     texts = [p for p in map(paragraphs_of, sources) if p] or [["no text at all here"]]
     other = [t for p in texts for t in p if t.count(" ") > 4] or ["no text at all here"]
     xs, ys = [], []
     for paragraphs in texts:
-        for _ in range(layouts):
+        for _ in range(-(-layouts // len(texts))):
             k = int(g.integers(1, pick_most(g) + 1))
-            source, truth = layout(paragraphs[:k], other, g)
-            page = parse(source)
+            page = parse(layout(paragraphs[:k], other, g))
             positive = np.zeros(len(page.nodes))
             for node, text in page.runs:
-                if text in truth:
+                if MINE in text:
                     positive[node] = 1
             for i in range(len(page.nodes) - 1, 0, -1):
                 positive[page.nodes[i].parent] = max(positive[page.nodes[i].parent], positive[i])

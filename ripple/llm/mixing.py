@@ -69,8 +69,8 @@ def mix(docs: DataFrame, scratch: Scratch, weights=WEIGHTS, share: float = 1.0,
     ``keep`` names further columns of ``docs`` to carry along through the sort.
     """
     key = F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    sized = docs.select(F.col("doc_id"), F.col("source"), n_words(text_or_empty()).alias("size"),
-                        key.alias("_key"), *keep)
+    carried = [c for c in keep if c not in ("doc_id", "source")]
+    sized = docs.select("doc_id", "source", n_words(text_or_empty()).alias("size"), key.alias("_key"), *carried)
     rows = ranked(sized, scratch, ["source"], ["_key", "size"], {"before": "size"})
     per_source = scratch.spark.read.schema(sized.schema).parquet(scratch.path("ranked")).groupBy("source") \
         .agg(F.sum("size").alias("source_size"))
@@ -91,8 +91,9 @@ def first_words(text: Column, n: Column) -> Column:
 
 def mixed(docs: DataFrame, scratch: Scratch, **options) -> DataFrame:
     """The mix itself: each document as often as it is taken, the last time up to the words taken."""
+    # every column under a name of its own, so that none can clash with those of the plan
     keyed = docs.select("doc_id", "source", "text", F.md5(text_or_empty().cast("binary")).alias("_md5"),
-                        F.struct(*docs.columns).alias("_row"))
+                        *[F.col(c).alias(f"_row_{c}") for c in docs.columns if c not in ("text", "n_chars")])
     plan = mix(keyed, scratch, keep=("_md5",), **options).filter("taken > 0") \
         .groupBy(F.col("doc_id").alias("_id"), F.col("_md5").alias("_m")) \
         .agg(F.first("size").alias("size"), F.sort_array(F.collect_list("taken")).alias("takes"))
@@ -105,4 +106,4 @@ def mixed(docs: DataFrame, scratch: Scratch, **options) -> DataFrame:
             F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<long>")))))
     text = F.when(F.col("words") == F.col("size"), F.col("text")).otherwise(first_words(F.col("text"), F.col("words")))
     fields = {"text": text, "n_chars": F.length(text).cast("long")}
-    return each.select(*[fields.get(c, F.col("_row")[c]).alias(c) for c in docs.columns])
+    return each.select(*[(fields[c] if c in fields else F.col(f"_row_{c}")).alias(c) for c in docs.columns])
