@@ -74,3 +74,12 @@ def quantise(weight: Column) -> Column:
     add in different order still agree.
     """
     return F.floor(weight * 1e6 + 0.3719).cast("bigint")
+
+
+def by_weight(weight: Column) -> Column:
+    """What to rank a weight by: twelve significant digits, as (exponent, digits).
+
+    Sums that differ only by the order of adding are equal, however small they are.
+    """
+    exponent = F.floor(F.log10(weight))
+    return F.struct(exponent.alias("exponent"), F.round(weight * F.pow(F.lit(10.0), 11 - exponent)).alias("digits"))

@@ -59,3 +59,23 @@ def spread(rows: DataFrame, fan: str, chunk: str, needed: bool) -> DataFrame:
 
 def keys(key: str, chunk: str, needed: bool) -> list[str]:
     return [key, chunk] if needed else [key]
+
+
+def split_join(many: DataFrame, one: DataFrame, on: list[str], counts: DataFrame, spread_by: str, how: str = "inner",
+               chunk_rows: int | None = None) -> DataFrame:
+    """``many`` joined with ``one`` (a row per key, often an aggregate), with the rows of hot keys dealt over chunks.
+
+    Adaptive execution does not split such a join where one side is an aggregate on the join key. ``counts``
+    has the rows of ``many`` per key as ``n``. Keys with more than a chunk of rows form a list of fewer than
+    ``MAX_HOT_NODES`` rows, which is broadcast to both sides; ``spread_by`` is what the rows of a key differ in.
+    """
+    chunk_rows = chunk_rows or CHUNK_ROWS
+    total, most = counts.agg(F.sum("n"), F.max("n")).first()
+    chunk = max(chunk_rows, (total or 0) // MAX_HOT_NODES)
+    if (most or 0) <= chunk:
+        return many.join(one, on, how)
+    fans = F.broadcast(counts.filter(F.col("n") > chunk).select(*on, F.ceil(F.col("n") / chunk).cast("int").alias("_fan")))
+    fan = F.coalesce("_fan", F.lit(1))
+    dealt = many.join(fans, on, "left").withColumn("_chunk", chunk_of(spread_by, fan)).drop("_fan")
+    copied = one.join(fans, on, "left").withColumn("_chunk", F.explode(F.sequence(F.lit(0), fan - 1))).drop("_fan")
+    return dealt.join(copied, [*on, "_chunk"], how).drop("_chunk")

@@ -50,6 +50,7 @@ def relationship(friend_edge: DataFrame, pairs: DataFrame) -> DataFrame:
          .otherwise("stranger").alias("relation"))
 
 
+# Fields and messages of the site's forms.
 SIGNUP_FIELDS = ("username", "password", "firstname", "lastname", "email", "affiliation", "birthday")
 FEW_INTERESTS = "You must have at least two interests."
 EMPTY_FIELD = "All input fields need to be completed!"
@@ -64,6 +65,26 @@ def validate_users(rows: DataFrame) -> DataFrame:
     return rows.withColumn("reason", reason).withColumn("ok", F.col("reason").isNull())
 
 
+# Messages of the site's forms.
+EMPTY_FORM = {
+    "comment": "You cannot make an empty comment",
+    "post": "You cannot make an empty post",
+    "email": "You cannot change to an empty email",
+    "password": "You cannot change to an empty password",
+    "affiliation": "You cannot change to an empty affiliation",
+}
+
+
+def validate_rows(rows: DataFrame) -> DataFrame:
+    """Form rows (kind, value) with a flag and, where refused, the reason: texts may not be empty, a list of interests
+    (joined by comma) has at least two."""
+    empty = F.coalesce(F.length("value"), F.lit(0)) == 0
+    reason = F.when((F.col("kind") == "interests") & (empty | (F.size(F.split("value", ",")) < 2)), FEW_INTERESTS)
+    for kind, message in EMPTY_FORM.items():
+        reason = reason.when((F.col("kind") == kind) & empty, message)
+    return rows.withColumn("reason", reason).withColumn("ok", F.col("reason").isNull())
+
+
 def friend_expand(friend_edge: DataFrame, users: DataFrame, viewer: str | None = None) -> DataFrame:
     """Friends of a viewer (or of all) with their first names, without the viewer."""
     edges = friend_edge if viewer is None else friend_edge.filter(F.col("username") == viewer)
@@ -117,3 +138,15 @@ def invite_new(requests: DataFrame, friend_edge: DataFrame, invites: DataFrame,
         .join(invites.select("receiver", "sender"), ["receiver", "sender"], "left_anti") \
         .join(rooms.select(F.col("username").alias("receiver"), "room"), ["receiver", "room"], "left_anti") \
         .select("sender", "receiver")
+
+
+def group_invite_new(requests: DataFrame, friend_edge: DataFrame, invites: DataFrame) -> DataFrame:
+    """Requests (inviter, room, receiver) that lead to an invite into a group's room; the room is stored as its sender.
+
+    The receiver is a friend of the inviter and has no open invite under the inviter's own name. Whether the
+    receiver is in the room already is not asked.
+    """
+    friends = friend_edge.select(F.col("username").alias("inviter"), F.col("friend").alias("receiver"))
+    open_ = invites.select(F.col("sender").alias("inviter"), "receiver")
+    return requests.join(friends, ["inviter", "receiver"], "left_semi").join(open_, ["inviter", "receiver"], "left_anti") \
+        .select(F.col("room").alias("sender"), "receiver").distinct()

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ripple.operators.edges import degree_table
+from ripple.functions import scalars
 from ripple.operators.hot import CHUNK_ROWS, Chunking, chunk_of, keys, spread
 from ripple.session import Scratch
 
@@ -82,4 +83,4 @@ def _round(ranks: DataFrame, graph: DataFrame, split: Chunking) -> DataFrame:
 
 def top_ranks(ranks: DataFrame, k: int = 10) -> DataFrame:
     """The ``k`` highest ranks; ties go by vertex. Runs as a per-partition top-k."""
-    return ranks.orderBy(F.desc("r"), "v").limit(k)
+    return ranks.orderBy(scalars.by_weight(F.col("r")).desc(), "v").limit(k)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ripple.functions import scalars
+from ripple.operators.hot import split_join
 
 
 def _newest(log: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -18,9 +19,17 @@ def _newest(log: DataFrame, keys: list[str], value: str) -> DataFrame:
         F.max_by(value, F.struct("ts", "event_id")).alias(value), F.max(F.struct("ts", "event_id")).alias("at"))
 
 
-def new_users(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Accepted sign-ups as (user rows, friend edges); a new user is its own first friend."""
-    return rows, rows.select("username", F.col("username").alias("friend"))
+def new_users(rows: DataFrame, now_ms: int) -> tuple[DataFrame, DataFrame]:
+    """Accepted sign-ups as (user rows, friend edges); a new user is its own first friend.
+
+    The password is kept as a hash, interests as a set; a new user has no rooms and no invites.
+    """
+    none = F.array().cast("array<string>")
+    users = rows.select(
+        "username", scalars.password_hash(F.col("password")).alias("password"), "firstname", "lastname", "email",
+        "affiliation", "birthday", F.array_sort(F.array_distinct("interests")).alias("interests"),
+        F.lit(now_ms).cast("bigint").alias("lastAction"), none.alias("chatInvites"), none.alias("rooms"))
+    return users, rows.select("username", F.col("username").alias("friend"))
 
 
 def profile_latest(log: DataFrame) -> DataFrame:
@@ -69,10 +78,24 @@ def friend_state(log: DataFrame) -> DataFrame:
     return friends_of(mirrored_friend_ops(log))
 
 
+def _present(log: DataFrame, keys: list[str], enter: str) -> DataFrame:
+    """Keys that an ``enter`` added since any other operation removed them, with the time of the first such ``enter``.
+
+    A second ``enter`` changes nothing, so the list order of entries is that of the first. Two aggregates that
+    are combined on the map side; between them the entries after a key's last removal are looked up,
+    with the entries of a key that has very many of them dealt over chunks.
+    """
+    at = F.struct("ts", "event_id")
+    removed = log.filter(F.col("op") != enter).groupBy(*keys).agg(F.max(at).alias("removed"))
+    entries = log.filter(F.col("op") == enter)
+    known = split_join(entries, removed, keys, entries.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), "event_id", "left")
+    return known.filter(F.col("removed").isNull() | (at > F.col("removed"))).groupBy(*keys) \
+        .agg(F.min(at)["ts"].alias("since"))
+
+
 def room_state(log: DataFrame) -> DataFrame:
     """Rooms each user is in after a log of (event_id, ts, username, room, op), op JOIN or LEAVE."""
-    return _newest(log, ["username", "room"], "op").filter("op = 'JOIN'") \
-        .select("username", "room", F.col("at.ts").alias("since"))
+    return _present(log, ["username", "room"], "JOIN")
 
 
 def invite_state(log: DataFrame) -> DataFrame:
@@ -80,16 +103,22 @@ def invite_state(log: DataFrame) -> DataFrame:
 
     Declining or accepting removes the invite of that sender and no other.
     """
-    return _newest(log, ["receiver", "sender"], "op").filter("op = 'INVITE'") \
-        .select("receiver", "sender", F.col("at.ts").alias("since"))
+    return _present(log, ["receiver", "sender"], "INVITE")
 
 
-def accepted_rooms(log: DataFrame) -> DataFrame:
-    """Room changes that accepted invites bring about: both users join the room of the two.
+def accepted_rooms(log: DataFrame, friend_edge: DataFrame | None = None) -> DataFrame:
+    """Room changes that accepted invites bring about: everyone concerned joins the room.
 
-    Same shape as the log of :func:`room_state`.
+    The sender of an invite is a user, or for a group the room's list of users; the room is theirs and the
+    receiver's. With ``friend_edge``, an acceptance counts only if the receiver is a friend of everyone
+    in the room. Same shape as the log of :func:`room_state`.
     """
-    room = scalars.room_id(F.col("sender"), F.col("receiver"))
-    return log.filter("op = 'ACCEPT'").select(
-        "event_id", "ts", F.explode(F.array_distinct(F.array("receiver", "sender"))).alias("username"),
-        room.alias("room"), F.lit("JOIN").alias("op"))
+    everyone = F.array_append(F.split("sender", ","), F.col("receiver"))
+    accepted = log.filter("op = 'ACCEPT'").withColumn("members", F.array_distinct(everyone)) \
+        .withColumn("room", F.array_join(F.array_sort(everyone), ","))
+    if friend_edge is not None:
+        friends = friend_edge.select(F.col("username").alias("receiver"), F.col("friend").alias("member"))
+        strangers = accepted.select("event_id", "receiver", F.explode("members").alias("member")) \
+            .join(friends, ["receiver", "member"], "left_anti")
+        accepted = accepted.join(strangers.select("event_id").distinct(), "event_id", "left_anti")
+    return accepted.select("event_id", "ts", F.explode("members").alias("username"), "room", F.lit("JOIN").alias("op"))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ripple.functions.stopwords import DEFAULT_STOP_WORDS
-from ripple.operators.people import EMPTY_FIELD, FEW_INTERESTS
+from ripple.operators.people import EMPTY_FIELD, EMPTY_FORM, FEW_INTERESTS
 from ripple.plans.registry import EARLY_STOP, RANK_DMAX
 from ripple.sources.fixtures import FRIEND_MULTIPLIERS, NEWS_DATE, NOW_MS
 
@@ -29,12 +29,14 @@ VIEWS = {
             UNION ALL SELECT c_custkey, c_custkey FROM customer)
           SELECT a, b FROM made UNION ALL SELECT b, a FROM made)""",
     "user_interest": """
-        SELECT DISTINCT 'u' || o_custkey AS username, p_brand AS interest
+        SELECT 'u' || o_custkey AS username, p_brand AS interest
         FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN part ON l_partkey = p_partkey
-        WHERE l_quantity >= 48 AND l_returnflag = 'R'""",
+        GROUP BY o_custkey, p_brand
+        QUALIFY RANK() OVER (PARTITION BY o_custkey ORDER BY COUNT(*) DESC) = 1""",
     "newslikes": """
-        SELECT DISTINCT 'u' || o_custkey AS userid, 'part/' || l_partkey AS url
-        FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE l_quantity >= 45""",
+        SELECT 'u' || o_custkey AS userid, 'part/' || l_partkey AS url
+        FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_custkey, l_partkey
+        QUALIFY RANK() OVER (PARTITION BY o_custkey ORDER BY MAX(l_quantity) DESC) = 1""",
     "news": """
         SELECT 'part/' || p_partkey AS url, p_brand AS category, p_name AS headline,
                CAST(CAST(DATE '2017-12-01' + CAST(p_size AS INT) AS DATE) AS VARCHAR) AS date FROM part""",
@@ -88,35 +90,49 @@ VIEWS = {
                CASE WHEN event_type = 'error' THEN 'LEAVE' ELSE 'JOIN' END AS op
         FROM events WHERE event_type IN ('signup', 'click', 'error')""",
     "invite_log": f"""
-        SELECT event_id, {_ms("ts")} AS ts, 'u' || user_id AS receiver, 'u' || ({_K} % 10) AS sender,
+        SELECT event_id, {_ms("ts")} AS ts, 'u' || user_id AS receiver,
+               CASE WHEN {_K} % 4 = 3 THEN array_to_string(list_sort(['u' || ((user_id * 2 + 7) % (SELECT COUNT(*) FROM customer)),
+                 'u' || ((user_id * 3 + 7) % (SELECT COUNT(*) FROM customer))]), ',') ELSE 'u' || ({_K} % 10) END AS sender,
                CASE event_type WHEN 'error' THEN 'DECLINE' WHEN 'purchase' THEN 'ACCEPT' ELSE 'INVITE' END AS op
         FROM events""",
     "accepted": """
-        SELECT event_id, ts, member AS username,
-               LEAST(sender, receiver) || ',' || GREATEST(sender, receiver) AS room, 'JOIN' AS op
-        FROM (SELECT *, receiver AS member FROM invite_log UNION SELECT *, sender FROM invite_log)
-        WHERE op = 'ACCEPT'""",
+        SELECT event_id, ts, sender, member AS username, array_to_string(list_sort(everyone), ',') AS room, 'JOIN' AS op
+        FROM (SELECT *, unnest(list_distinct(everyone)) AS member FROM (
+          SELECT *, list_append(string_split(sender, ','), receiver) AS everyone FROM invite_log WHERE op = 'ACCEPT'))
+        WHERE event_id NOT IN (
+          SELECT event_id FROM (SELECT event_id, receiver, unnest(list_append(string_split(sender, ','), receiver)) AS member
+                                FROM invite_log WHERE op = 'ACCEPT') e
+          WHERE NOT EXISTS (SELECT 1 FROM friend_edge f WHERE f.username = e.receiver AND f.friend = e.member))""",
     "rooms": """
-        SELECT username, room, ts AS since FROM (
-          SELECT *, ROW_NUMBER() OVER (PARTITION BY username, room ORDER BY ts DESC, event_id DESC) AS n
-          FROM (SELECT * FROM room_log UNION ALL SELECT * FROM accepted)) WHERE n = 1 AND op = 'JOIN'""",
+        SELECT username, room, MIN(ts) AS since FROM (SELECT * FROM room_log UNION ALL SELECT event_id, ts, username, room, op FROM accepted) came WHERE op = 'JOIN' AND NOT EXISTS (
+          SELECT 1 FROM (SELECT * FROM room_log UNION ALL SELECT event_id, ts, username, room, op FROM accepted) gone WHERE gone.username = came.username AND gone.room = came.room AND gone.op <> 'JOIN' AND (gone.ts, gone.event_id) > (came.ts, came.event_id))
+        GROUP BY username, room""",
     "plain_rooms": """
-        SELECT username, room, ts AS since FROM (
-          SELECT *, ROW_NUMBER() OVER (PARTITION BY username, room ORDER BY ts DESC, event_id DESC) AS n
-          FROM room_log) WHERE n = 1 AND op = 'JOIN'""",
+        SELECT username, room, MIN(ts) AS since FROM room_log came WHERE op = 'JOIN' AND NOT EXISTS (
+          SELECT 1 FROM room_log gone WHERE gone.username = came.username AND gone.room = came.room AND gone.op <> 'JOIN' AND (gone.ts, gone.event_id) > (came.ts, came.event_id))
+        GROUP BY username, room""",
     "invites": """
-        SELECT receiver, sender, ts AS since FROM (
-          SELECT *, ROW_NUMBER() OVER (PARTITION BY receiver, sender ORDER BY ts DESC, event_id DESC) AS n
-          FROM invite_log) WHERE n = 1 AND op = 'INVITE'""",
+        SELECT receiver, sender, MIN(ts) AS since FROM invite_log came WHERE op = 'INVITE' AND NOT EXISTS (
+          SELECT 1 FROM invite_log gone WHERE gone.receiver = came.receiver AND gone.sender = came.sender AND gone.op <> 'INVITE' AND (gone.ts, gone.event_id) > (came.ts, came.event_id))
+        GROUP BY receiver, sender""",
     "group_requests": f"""
         SELECT event_id AS request_id, 'u' || user_id AS sender,
                'u' || ((user_id * 2 + 7) % n) AS one, 'u' || ((user_id * ({_K} % 6) + 7) % n) AS two
         FROM events, (SELECT COUNT(*) AS n FROM customer) WHERE event_type = 'signup'""",
+    "group_invites": f"""
+        SELECT 'u' || user_id AS inviter,
+               array_to_string(list_sort(['u' || ((user_id * 5 + 7) % n), 'u' || user_id]), ',') AS room,
+               'u' || ((user_id * ({_K} % 4 + 1) + 7) % n) AS receiver
+        FROM events, (SELECT COUNT(*) AS n FROM customer) WHERE event_type = 'click'""",
+    "form_rows": f"""
+        SELECT event_id, ['comment', 'post', 'email', 'password', 'affiliation', 'interests'][event_id % 6 + 1] AS kind,
+               CASE WHEN {_K} % 5 = 0 THEN '' WHEN {_K} % 7 = 0 THEN NULL WHEN {_K} % 2 = 0 THEN props
+                 ELSE 'Brand#1,Brand#' || {_K} END AS value FROM events""",
     "graph_requests": """
         SELECT DISTINCT author AS viewer, split_part(authortime, '$', 1) AS "user" FROM reactions""",
     "rank_edge": """
-        SELECT DISTINCT l_partkey AS src, (l_partkey * 7 + l_suppkey) % (SELECT COUNT(*) FROM part) AS dst
-        FROM lineitem WHERE l_quantity >= 48 AND l_returnflag = 'R'""",
+        SELECT l_partkey AS src, (l_partkey * 7 + l_suppkey) % (SELECT COUNT(*) FROM part) AS dst FROM lineitem
+        UNION SELECT l_partkey, l_suppkey + (SELECT COUNT(*) FROM part) + 1 FROM lineitem""",
     "rank_backlink": """
         SELECT dst AS src, src AS dst FROM rank_edge WHERE dst NOT IN (SELECT src FROM rank_edge)""",
     "rank_graph": "SELECT src, dst FROM rank_edge UNION ALL SELECT src, dst FROM rank_backlink",
@@ -211,9 +227,17 @@ def _propagation(rounds: int = 15, threshold: float = 0.15, news: str = "news_da
 
 
 _GRAPH_VIEWS = ("friend_edge", "newslikes", "user_interest", "news_day")
-_RECS = f"""recs AS MATERIALIZED (SELECT label AS username, node AS url, {_q("w")} AS weight
+_RECS = """recs AS MATERIALIZED (SELECT label AS username, node AS url, w AS weight
     FROM label_state WHERE node IN (SELECT url FROM news_day))"""
-_TOP = """top AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY username ORDER BY weight DESC, url) AS place
+_RECS_Q = f"SELECT username, url, {_q('weight')} AS weight FROM recs"
+
+
+def _by_weight(w: str) -> str:
+    """Twelve significant digits, largest first."""
+    return f"FLOOR(LOG10({w})) DESC, ROUND({w} * POW(10e0, 11 - FLOOR(LOG10({w})))) DESC"
+
+
+_TOP = f"""top AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY username ORDER BY {_by_weight("weight")}, url) AS place
     FROM recs QUALIFY place <= 5)"""
 
 
@@ -288,7 +312,7 @@ def oracle_sql() -> dict[str, str]:
         "label_delta": _sql(f"""SELECT COUNT(*) FILTER (ABS(a.w - b.w) > 0.15) AS n_moved,
             {_q('MAX(ABS(a.w - b.w))')} AS max_delta FROM s2 a JOIN s3 b ON a.node = b.node AND a.label = b.label""",
                             *_GRAPH_VIEWS, extra=_propagation(rounds=3)),
-        "recommendations": _sql("SELECT * FROM recs", *_GRAPH_VIEWS, extra=propagated + [_RECS]),
+        "recommendations": _sql(_RECS_Q, *_GRAPH_VIEWS, extra=propagated + [_RECS]),
         "recommendations_all_nodes": _sql(
             f"SELECT label AS username, node AS url, {_q('w')} AS weight FROM label_state",
             *_GRAPH_VIEWS, "news", extra=_propagation(news="news")),
@@ -298,10 +322,12 @@ def oracle_sql() -> dict[str, str]:
             WHERE NOT EXISTS (SELECT 1 FROM fresh WHERE fresh.username = userid AND fresh.url = newslikes.url)""",
             "newslikes", "user_interest", "news_day",
             extra=["fresh AS (SELECT DISTINCT username, url FROM user_interest JOIN news_day ON interest = category)"]),
-        "recommendations_table": _sql("SELECT userid AS username, url, 0.5e0 AS weight FROM newslikes", "newslikes"),
-        "top_recommendations": _sql("SELECT username, url, weight, CAST(place AS INT) AS place FROM top",
+        "recommendations_table": _sql("""SELECT userid AS username, url,
+            CASE WHEN CAST(SUBSTRING(url, 6) AS BIGINT) % 3 = 0 THEN CAST(CAST(SUBSTRING(url, 6) AS BIGINT) % 7 AS DOUBLE) / 8
+                 ELSE 0.5e0 END AS weight FROM newslikes""", "newslikes"),
+        "top_recommendations": _sql(f"SELECT username, url, {_q('weight')} AS weight, CAST(place AS INT) AS place FROM top",
                                     *_GRAPH_VIEWS, extra=propagated + [_RECS, _TOP]),
-        "news_feed": _sql("""SELECT username, CAST(place AS INT) AS place, url, weight, headline, category, date
+        "news_feed": _sql(f"""SELECT username, CAST(place AS INT) AS place, url, {_q('weight')} AS weight, headline, category, date
             FROM top LEFT JOIN news USING (url)""", *_GRAPH_VIEWS, "news", extra=propagated + [_RECS, _TOP]),
         # ranks
         "graph_distinct": "SELECT DISTINCT l_partkey AS src, l_suppkey AS dst FROM lineitem",
@@ -311,7 +337,7 @@ def oracle_sql() -> dict[str, str]:
         "graph_backlinks": _sql("SELECT src, dst FROM rank_graph", "rank_graph"),
         "social_rank": _sql(ranks_q, "rank_graph", extra=_ranks()),
         "social_rank_converged": _sql(ranks_q, "rank_graph", extra=_ranks(dmax=RANK_DMAX)),
-        "social_rank_top10": _sql(f"{ranks_q} ORDER BY r DESC, v LIMIT 10", "rank_graph", extra=_ranks()),
+        "social_rank_top10": _sql(f"SELECT v, {_q('r')} AS r FROM (SELECT * FROM ranks ORDER BY {_by_weight('r')}, v LIMIT 10)", "rank_graph", extra=_ranks()),
         # feeds and lookups
         "posts_by_author": _sql("""SELECT author, event_id, timestamp, content, likes, isWall FROM posts
             WHERE author IN (SELECT username FROM users)""", "posts", "users"),
@@ -363,8 +389,12 @@ def oracle_sql() -> dict[str, str]:
                 AND r.room = LEAST(q.sender, q.receiver) || ',' || GREATEST(q.sender, q.receiver))""",
                            "friend_edge", "friend_ops", "invites", "plain_rooms"),
         # state from logs
-        "new_users": _sql("""SELECT username, username AS friend FROM signups
-            WHERE n_interests >= 2 AND NOT lacks_field""", "signups"),
+        "new_users": f"""SELECT 'u' || c_custkey AS username, sha256(sha256(c_name)) AS password,
+            'Nation_' || c_nationkey AS firstname, SUBSTRING(c_mktsegment, 1, 1) || LOWER(SUBSTRING(c_mktsegment, 2)) AS lastname,
+            'u' || c_custkey || '@mail.test' AS email, c_mktsegment AS affiliation, '1990-01-01' AS birthday,
+            array_to_string(list_sort(list_distinct(['Brand#' || c_nationkey, 'Brand#30'])), ',') AS interests,
+            CAST({NOW_MS} AS BIGINT) AS lastAction, CAST(0 AS INT) AS chatInvites, CAST(0 AS INT) AS rooms,
+            'u' || c_custkey AS friend FROM customer WHERE c_acctbal >= 1000 AND c_acctbal < 9000""",
         "profile_latest": _sql("""SELECT username, field, value FROM (
             SELECT *, ROW_NUMBER() OVER (PARTITION BY username, field ORDER BY ts DESC, event_id DESC) AS n
             FROM profile_log) WHERE n = 1""", "profile_log"),
@@ -375,6 +405,15 @@ def oracle_sql() -> dict[str, str]:
             FROM group_requests""", "group_requests"),
         "invite_state": _sql("SELECT receiver, sender, since FROM invites", "invites"),
         "accepted_rooms": _sql("SELECT event_id, ts, username, room, op FROM accepted", "accepted"),
+        "group_accept": _sql("SELECT event_id, ts, username, room, op FROM accepted WHERE contains(sender, ',')", "accepted"),
+        "group_invite_new": _sql("""SELECT DISTINCT room AS sender, receiver FROM group_invites q
+            WHERE EXISTS (SELECT 1 FROM friend_edge f WHERE f.username = q.inviter AND f.friend = q.receiver)
+              AND NOT EXISTS (SELECT 1 FROM invites i WHERE i.receiver = q.receiver AND i.sender = q.inviter)""",
+                                 "group_invites", "friend_edge", "invites"),
+        "validate_rows": _sql(f"""SELECT event_id, kind, reason IS NULL AS ok, reason FROM (SELECT *, CASE
+              WHEN kind = 'interests' THEN CASE WHEN contains(coalesce(value, ''), ',') THEN NULL ELSE '{FEW_INTERESTS}' END
+              WHEN coalesce(value, '') <> '' THEN NULL
+              {" ".join(f"WHEN kind = '{k}' THEN '{m}'" for k, m in EMPTY_FORM.items())} END AS reason FROM form_rows)""", "form_rows"),
         # search; the stemmed queries have no SQL
         "keyword_index_raw": _sql("SELECT keyword, url FROM index_raw", "index_raw"),
         "keyword_hits": _sql("SELECT query_id, url, hits FROM hits", "hits"),
@@ -397,5 +436,5 @@ def oracle_sql() -> dict[str, str]:
             SELECT 'u' || user_id AS username, MAX({_ms('ts')}) AS lastAction FROM events GROUP BY user_id)""",
         "stream_chat": _sql("SELECT DISTINCT groupid, author, message FROM messages", "messages"),
         "stream_friend_state": _sql(_FRIEND_STATE, "friend_ops"),
-        "stream_recommend": _sql("SELECT * FROM recs", *_GRAPH_VIEWS, extra=propagated + [_RECS]),
+        "stream_recommend": _sql(_RECS_Q, *_GRAPH_VIEWS, extra=propagated + [_RECS]),
     }

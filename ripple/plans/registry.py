@@ -35,25 +35,28 @@ def queries() -> dict[str, Query]:
 
 
 class StreamFixtures(Fixtures):
-    """The same derivations over one table read as a stream."""
+    """The same derivations over one table read as a stream of several batches: its rows, dealt over files."""
 
-    def __init__(self, base: Fixtures, streamed: str):
+    def __init__(self, base: Fixtures, streamed: str, by: str, batches: int = 4):
         super().__init__(base.spark, base.folder)
-        self.streamed = streamed
+        self.streamed, self.files = streamed, Scratch(base.spark, f"stream-{streamed}")
+        super().raw(streamed).repartitionByRange(batches, by).write.parquet(self.files.path("in"))
 
     def raw(self, name: str) -> DataFrame:
         static = super().raw(name)
         if name != self.streamed:
             return static
-        return streams.read_stream(self.spark, self.folder, name, static.schema)
+        return streams.read_stream(self.spark, self.files.path("in"), "part-", static.schema, files_per_batch=1)
 
 
 # -- the graph -------------------------------------------------------------------
 
 def _kind_inputs(f: Fixtures, date: str | None) -> tuple[DataFrame, ...]:
-    return (edges.friend_edges(f.friend_edge()), edges.like_edges(f.newslikes()),
-            edges.interest_edges(f.user_interest()),
-            edges.article_edges(edges.news_for_date(f.news(), date)))
+    """The base edges, written once: degrees and weights, in both directions, read them from there."""
+    run = Scratch(f.spark, "base-edges")
+    return (run.save(edges.friend_edges(f.friend_edge()), "friends"), run.save(edges.like_edges(f.newslikes()), "likes"),
+            run.save(edges.interest_edges(f.user_interest()), "interests"),
+            run.save(edges.article_edges(edges.news_for_date(f.news(), date)), "articles"))
 
 
 def graph(f: Fixtures, date: str | None = NEWS_DATE) -> DataFrame:
@@ -68,8 +71,12 @@ def seeds(f: Fixtures) -> DataFrame:
 def day_recommendations(f: Fixtures) -> DataFrame:
     articles = edges.news_for_date(f.news(), NEWS_DATE).select("url")
     labels = propagation.propagate(seeds(f), graph(f), keep=articles.withColumnRenamed("url", "node"))
-    return propagation.recommendations(labels, articles) \
-        .withColumn("weight", scalars.quantise(F.col("weight")))
+    return propagation.recommendations(labels, articles)
+
+
+def _weights(rows: DataFrame) -> DataFrame:
+    """For comparison with SQL; last, as whatever ranks by weight needs all of it."""
+    return rows.withColumn("weight", scalars.quantise(F.col("weight")))
 
 
 def _labels(labels: DataFrame) -> DataFrame:
@@ -144,13 +151,13 @@ def label_propagation_early_stop(f):
 
 @query
 def label_delta(f):
-    before, after = (propagation.propagate(seeds(f), graph(f), rounds=n) for n in (2, 3))
+    before, after = propagation.last_two(seeds(f), graph(f), rounds=3)
     return propagation.label_delta(before, after).withColumn("max_delta", scalars.quantise(F.col("max_delta")))
 
 
 @query
 def recommendations(f):
-    return day_recommendations(f)
+    return _weights(day_recommendations(f))
 
 
 @query
@@ -172,19 +179,22 @@ def recommendations_upsert(f):
 def recommendations_table(f):
     """The stored table, read back."""
     path = Scratch(f.spark, "recommendations").path("table")
-    tables.write_recommendations(
-        f.newslikes().select(F.col("userid").alias("username"), "url", F.lit(0.5).alias("weight")), path)
-    return f.spark.read.parquet(path)
+    likes = f.newslikes().select(F.col("userid").alias("username"), "url")
+    number = F.substring("url", 6, 20).cast("bigint")
+    tables.write_recommendations(likes.withColumn("weight", F.lit(0.5)), path)
+    # a second run: other users' rows stay, equal keys get the new weight
+    tables.write_recommendations(likes.withColumn("weight", (number % 7) / 8).filter(number % 3 == 0), path)
+    return tables.read_stored(f.spark, path)
 
 
 @query
 def top_recommendations(f):
-    return feeds.top_recommendations(day_recommendations(f))
+    return _weights(feeds.top_recommendations(day_recommendations(f)))
 
 
 @query
 def news_feed(f):
-    return feeds.news_feed(day_recommendations(f), f.news())
+    return _weights(feeds.news_feed(day_recommendations(f), f.news()))
 
 
 # -- ranks -----------------------------------------------------------------------
@@ -228,8 +238,7 @@ def social_rank_converged(f):
 
 @query
 def social_rank_top10(f):
-    ranks = rank.social_rank(_rank_graph(f)).withColumn("r", scalars.quantise(F.col("r")))
-    return rank.top_ranks(ranks)
+    return rank.top_ranks(rank.social_rank(_rank_graph(f))).withColumn("r", scalars.quantise(F.col("r")))
 
 
 # -- feeds and lookups -------------------------------------------------------------
@@ -304,6 +313,11 @@ def validate_users(f):
     return people.validate_users(f.signups()).select("username", "ok", "reason")
 
 
+@query
+def validate_rows(f):
+    return people.validate_rows(f.form_rows()).select("event_id", "kind", "ok", "reason")
+
+
 @query
 def friend_expand(f):
     return people.friend_expand(f.friend_edge(), f.users())
@@ -329,9 +343,9 @@ def invite_new(f):
 
 @query
 def new_users(f):
-    checked = people.validate_users(f.signups())
-    _, friends = state.new_users(checked.filter("ok"))
-    return friends
+    users, friends = state.new_users(people.validate_users(f.signups()).filter("ok"), NOW_MS)
+    lists = {"interests": F.array_join("interests", ","), "rooms": F.size("rooms"), "chatInvites": F.size("chatInvites")}
+    return users.join(friends, "username").select(*[lists.get(c, F.col(c)).alias(c) for c in users.columns], "friend")
 
 
 @query
@@ -351,7 +365,7 @@ def friend_state(f):
 
 @query
 def room_state(f):
-    return state.room_state(f.room_log().unionByName(state.accepted_rooms(f.invite_log())))
+    return state.room_state(f.room_log().unionByName(state.accepted_rooms(f.invite_log(), f.friend_edge())))
 
 
 @query
@@ -367,7 +381,18 @@ def invite_state(f):
 
 @query
 def accepted_rooms(f):
-    return state.accepted_rooms(f.invite_log())
+    return state.accepted_rooms(f.invite_log(), f.friend_edge())
+
+
+@query
+def group_accept(f):
+    """Joins by acceptance of invites into groups alone."""
+    return state.accepted_rooms(f.invite_log().filter(F.contains("sender", F.lit(","))), f.friend_edge())
+
+
+@query
+def group_invite_new(f):
+    return people.group_invite_new(f.group_invites(), f.friend_edge(), state.invite_state(f.invite_log()))
 
 
 # -- search ----------------------------------------------------------------------------
@@ -428,9 +453,7 @@ def _run(start: Callable[[str], object], f: Fixtures, name: str) -> str:
 
 @query
 def stream_presence(f):
-    activity = StreamFixtures(f, "events").raw("events").select(
-        user("user_id").alias("username"), F.col("ts").cast("timestamp").alias("event_time"),
-        millis("ts").alias("ts"))
+    activity = StreamFixtures(f, "events", "event_id").raw("events").select(user("user_id").alias("username"), millis("ts").alias("ts"))
     path = _run(lambda p: streams.stream_presence(activity, p), f, "stream-presence")
     last = streams.read_presence(f.spark, path)
     return last.select("username", "last_action",
@@ -439,14 +462,14 @@ def stream_presence(f):
 
 @query
 def stream_chat(f):
-    messages = StreamFixtures(f, "conversations").messages()
+    messages = StreamFixtures(f, "conversations", "turn").messages()
     path = _run(lambda p: streams.stream_chat(messages, p), f, "stream-chat")
     return streams.read_chat(f.spark, path)
 
 
 @query
 def stream_friend_state(f):
-    ops = StreamFixtures(f, "events").friend_ops()
+    ops = StreamFixtures(f, "events", "user_id").friend_ops()
     path = _run(lambda p: streams.stream_friend_state(ops, p), f, "stream-friends")
     return streams.read_friend_state(f.spark, path, ops.schema)
 
@@ -454,10 +477,11 @@ def stream_friend_state(f):
 @query
 def stream_recommend(f):
     """Interests arrive as a stream; the recommendations are computed once per batch."""
-    lineitem = StreamFixtures(f, "lineitem").raw("lineitem").filter("l_quantity >= 48 and l_returnflag = 'R'")
+    lineitem = StreamFixtures(f, "lineitem", "l_orderkey", 1).raw("lineitem")
     interests = lineitem.join(f.raw("orders"), F.col("l_orderkey") == F.col("o_orderkey")) \
         .join(f.raw("part"), F.col("l_partkey") == F.col("p_partkey")) \
-        .select(user("o_custkey").alias("username"), F.col("p_brand").alias("interest"))
+        .select(user("o_custkey").alias("username"), F.col("p_brand").alias("interest")) \
+        .join(f.user_interest(), ["username", "interest"], "left_semi")
     articles = edges.news_for_date(f.news(), NEWS_DATE)
 
     def recompute(known: DataFrame) -> DataFrame:

@@ -11,6 +11,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTINGS = {
+    # a token that is no number fails instead of turning into a null
+    "spark.sql.ansi.enabled": "true",
     # parquet timestamps carry no zone; every epoch value is taken in UTC
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -20,7 +22,6 @@ _SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-_local_fallback: str | None = None
 _shipped: set[str] = set()
 
 
@@ -42,30 +43,56 @@ def prepare(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by the cluster.
 
-    A local session without the setting (tests) gets a folder of its own; on a
-    cluster the setting is required.
+    Without the setting it is a folder beside the tables of the warehouse, which all executors share too.
     """
-    global _local_fallback
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    if _local_fallback is None:
-        _local_fallback = tempfile.mkdtemp(prefix="ripple-")
-        atexit.register(shutil.rmtree, _local_fallback, ignore_errors=True)
-    return _local_fallback
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/ripple-scratch"
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it is."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it is absent."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(place):
+        return []
+    return [s.getPath().getName() for s in files.listStatus(place) if s.isDirectory()]
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
+_runs: list[tuple[SparkSession, str]] = []
+
+
+@atexit.register
+def _delete_runs() -> None:
+    """What lazily read results still needed goes when the application ends."""
+    for spark, root in _runs:
+        if spark.sparkContext._jsc is not None:
+            delete(spark, root)
 
 
 class Scratch:
     """Written tables of one run, in a folder of their own under the shared folder.
 
-    Writing a table cuts lineage and survives the loss of an executor.
+    Writing a table cuts lineage and survives the loss of an executor. What is left of a run is deleted when
+    the application ends.
     """
 
     def __init__(self, spark: SparkSession, purpose: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+        _runs.append((spark, self.root))
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -77,6 +104,4 @@ class Scratch:
 
     def drop(self, name: str) -> None:
         """Delete one table of this run."""
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path(name))
-        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        delete(self.spark, self.path(name))

@@ -54,10 +54,12 @@ class Fixtures:
             .select(user("a").alias("username"), user("b").alias("friend"))
 
     def user_interest(self) -> DataFrame:
-        lineitem = self.raw("lineitem").filter("l_quantity >= 48 and l_returnflag = 'R'")
-        return lineitem.join(self.raw("orders"), F.col("l_orderkey") == F.col("o_orderkey")) \
+        """The brands each customer has ordered most often."""
+        bought = self.raw("lineitem").join(self.raw("orders"), F.col("l_orderkey") == F.col("o_orderkey")) \
             .join(self.raw("part"), F.col("l_partkey") == F.col("p_partkey")) \
-            .select(user("o_custkey").alias("username"), F.col("p_brand").alias("interest")).distinct()
+            .groupBy("o_custkey", "p_brand").agg(F.count(F.lit(1)).alias("times"))
+        most = bought.groupBy("o_custkey").agg(F.max("times").alias("times"))
+        return bought.join(most, ["o_custkey", "times"]).select(user("o_custkey").alias("username"), F.col("p_brand").alias("interest"))
 
     def users(self) -> DataFrame:
         latest = self.raw("events").groupBy("user_id").agg(F.max(millis("ts")).alias("lastAction"))
@@ -86,10 +88,12 @@ class Fixtures:
     # -- news ---------------------------------------------------------------
 
     def newslikes(self) -> DataFrame:
-        return self.raw("lineitem").filter("l_quantity >= 45") \
-            .join(self.raw("orders"), F.col("l_orderkey") == F.col("o_orderkey")) \
-            .select(user("o_custkey").alias("userid"),
-                    F.concat(F.lit("part/"), F.col("l_partkey").cast("string")).alias("url")).distinct()
+        """The parts of each customer's largest order lines."""
+        lines = self.raw("lineitem").join(self.raw("orders"), F.col("l_orderkey") == F.col("o_orderkey")) \
+            .groupBy("o_custkey", "l_partkey").agg(F.max("l_quantity").alias("quantity"))
+        largest = lines.groupBy("o_custkey").agg(F.max("quantity").alias("quantity"))
+        return lines.join(largest, ["o_custkey", "quantity"]).select(
+            user("o_custkey").alias("userid"), F.concat(F.lit("part/"), F.col("l_partkey").cast("string")).alias("url"))
 
     def news(self) -> DataFrame:
         """News items; the part size stands in for the publication day."""
@@ -175,11 +179,12 @@ class Fixtures:
             F.when(F.col("event_type") == "error", "LEAVE").otherwise("JOIN").alias("op"))
 
     def invite_log(self) -> DataFrame:
-        """Chat invites: sent, declined or accepted."""
-        kind = F.col("event_type")
+        """Chat invites: sent, declined or accepted. The sender is a user, or a group's room."""
+        kind, n = F.col("event_type"), self.n_customers()
+        group = scalars.room_id(user((F.col("user_id") * 2 + 7) % n), user((F.col("user_id") * 3 + 7) % n))
         return self._events().select(
             "event_id", millis("ts").alias("ts"), F.col("actor").alias("receiver"),
-            user(F.col("k") % 10).alias("sender"),
+            F.when(F.col("k") % 4 == 3, group).otherwise(user(F.col("k") % 10)).alias("sender"),
             F.when(kind == "error", "DECLINE").when(kind == "purchase", "ACCEPT").otherwise("INVITE").alias("op"))
 
     def group_requests(self) -> DataFrame:
@@ -190,6 +195,23 @@ class Fixtures:
             F.col("event_id").alias("request_id"), F.col("actor").alias("sender"),
             F.concat_ws(",", user((u * 2 + 7) % n), user((u * (F.col("k") % 6) + 7) % n)).alias("participants"))
 
+    def group_invites(self) -> DataFrame:
+        """Who invites whom into which group's room."""
+        n = self.n_customers()
+        return self._events().filter("event_type = 'click'").select(
+            F.col("event_id").alias("request_id"), F.col("actor").alias("inviter"),
+            scalars.room_id(user((F.col("user_id") * 5 + 7) % n), F.col("actor")).alias("room"),
+            user((F.col("user_id") * (F.col("k") % 4 + 1) + 7) % n).alias("receiver"))
+
+    def form_rows(self) -> DataFrame:
+        """What users type into the forms of the site; some fields are left empty."""
+        kinds = ("comment", "post", "email", "password", "affiliation", "interests")
+        kind = F.element_at(F.array(*[F.lit(k) for k in kinds]), (F.col("event_id") % 6 + 1).cast("int"))
+        return self._events().select(
+            "event_id", kind.alias("kind"),
+            F.when(F.col("k") % 5 == 0, "").when(F.col("k") % 7 == 0, F.lit(None).cast("string"))
+             .when(F.col("k") % 2 == 0, F.col("props")).otherwise(F.concat(F.lit("Brand#1,Brand#"), F.col("k").cast("string"))).alias("value"))
+
     def graph_requests(self) -> DataFrame:
         """Who opens whose node in the friend graph: each commenter looks at the author of the post."""
         return self.reactions().select(
@@ -198,6 +220,7 @@ class Fixtures:
     def rank_edge(self) -> DataFrame:
         """Directed graph with sinks."""
         n = self.raw("part").count()
-        return self.raw("lineitem").filter("l_quantity >= 48 and l_returnflag = 'R'").select(
-            F.col("l_partkey").alias("src"),
-            ((F.col("l_partkey") * 7 + F.col("l_suppkey")) % n).alias("dst")).distinct()
+        part, supplier = F.col("l_partkey"), F.col("l_suppkey")
+        # from parts to parts, and to suppliers, which are numbered after the parts and have no edge out
+        ends = F.explode(F.array((part * 7 + supplier) % n, supplier + n + 1))
+        return self.raw("lineitem").select(part.alias("src"), ends.alias("dst")).distinct()

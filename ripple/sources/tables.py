@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ripple.session import delete, exists, subfolders
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One parquet table of a data folder."""
@@ -35,33 +37,62 @@ def read_stop_words(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.trim("value").alias("word")).filter(F.col("word") != "")
 
 
-def upsert(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+def newest(rows: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
+    """One row per key: the one with the highest ``order``; without it, the one with the highest values.
+
+    ``max_by`` keeps one row per key on the map side, so a key with many rows does not gather in one task.
+    """
+    rest = [c for c in rows.columns if c not in keys]
+    if not rest:
+        return rows.distinct()
+    by = F.struct(F.col(order), *rest) if order else F.struct(*rest)
+    kept = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), by).alias("row"))
+    return kept.select(*keys, "row.*").select(*rows.columns)
+
+
+def upsert(existing: DataFrame, new: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
     """Rows of ``new`` replace rows of ``existing`` with the same key; all others stay.
 
-    Repeats of a key within ``new`` collapse to one row.
+    Of repeats of a key within ``new`` the one with the highest ``order`` counts.
     """
-    fresh = new.dropDuplicates(list(keys))
+    fresh = newest(new, keys, order)
     return existing.join(fresh.select(*keys), list(keys), "left_anti").unionByName(fresh)
 
 
 def append_rows(existing: DataFrame, new: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """Append ``new``; where a key is already taken, the row with the highest ``order`` stays.
+    """Append ``new`` to a table with one row per key; where a key is taken, the row with the highest ``order`` stays.
 
-    ``max_by`` keeps one row per key on the map side, so a key with many
-    rewrites does not gather in one task.
+    Only the taken rows are folded; the others of the stored table are kept as they are.
     """
-    merged = existing.unionByName(new)
-    rest = [c for c in merged.columns if c not in keys]
-    kept = merged.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(order)).alias("row"))
-    return kept.select(*keys, "row.*").select(*merged.columns)
+    taken = new.select(*keys).distinct()
+    free = existing.join(taken, list(keys), "left_anti")
+    return free.unionByName(newest(existing.join(taken, list(keys), "left_semi").unionByName(new), keys, order))
+
+
+def _version(spark: SparkSession, path: str) -> int:
+    """Newest complete version of a stored table; -1 if there is none."""
+    done = [int(name.removeprefix("version=")) for name in subfolders(spark, path)
+            if name.startswith("version=") and exists(spark, f"{path}/{name}/_SUCCESS")]
+    return max(done, default=-1)
+
+
+def read_stored(spark: SparkSession, path: str) -> DataFrame:
+    """The newest version of a table that :func:`write_recommendations` keeps."""
+    return spark.read.parquet(f"{path}/version={_version(spark, path)}")
 
 
-def write_recommendations(recommendations: DataFrame, path: str) -> None:
-    """Store recommendations so that the rows of a user lie close together.
+def write_recommendations(recommendations: DataFrame, path: str, order: str | None = None) -> None:
+    """Put recommendations into the stored table: equal (username, url) are replaced, all other rows stay.
 
-    Range partitioning on both key columns splits a user with very many rows
-    over several files, which hashing on the user alone would not.
+    A run writes a new version and deletes those before the last, so a reader of the last one is not disturbed.
+    Range partitioning on both key columns keeps a user's rows close together and splits a user with
+    very many rows over several files, which hashing on the user alone would not.
     """
-    recommendations.dropDuplicates(["username", "url"]) \
-        .repartitionByRange("username", "url").sortWithinPartitions("username", "url") \
-        .write.mode("overwrite").parquet(path)
+    spark, keys = recommendations.sparkSession, ["username", "url"]
+    last = _version(spark, path)
+    rows = newest(recommendations, keys, order) if last < 0 else upsert(read_stored(spark, path), recommendations, keys, order)
+    rows.repartitionByRange(*keys).sortWithinPartitions(*keys) \
+        .write.mode("overwrite").parquet(f"{path}/version={last + 1}")
+    for name in subfolders(spark, path):
+        if name.startswith("version=") and int(name.removeprefix("version=")) < last:
+            delete(spark, f"{path}/{name}")

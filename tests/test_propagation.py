@@ -102,7 +102,7 @@ def test_hot_nodes_are_split_without_changing_results(spark, monkeypatch, broadc
 
 def test_large_graph_text_keeps_no_broadcast():
     split = Chunking(chunk=1_000_000, n_edges=10**10, by_source=True, by_target=True)
-    text = propagation._round_sql(split, 2000)
+    text = propagation._round_sql(split, 10**9, 2000)
     assert "BROADCAST" not in text and "explode(sequence(0, fan - 1)) AS out_chunk" in text
     assert Chunking(1, 100, False, False).by_source is False
 
