@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ripple.functions.stopwords import DEFAULT_STOP_WORDS
 from ripple.operators.people import EMPTY_FIELD, EMPTY_FORM, FEW_INTERESTS
+from ripple.plans.porter_sql import stems
 from ripple.plans.registry import EARLY_STOP, RANK_DMAX
 from ripple.sources.fixtures import FRIEND_MULTIPLIERS, NEWS_DATE, NOW_MS
 
@@ -280,6 +281,17 @@ _DERIVED = """SELECT username AS author, ts AS timestamp,
               || ', and ' || list_extract(string_split(value, ','), -1) || '!' END AS content,
     CAST(0 AS BIGINT) AS likes, username AS isWall
     FROM profile_log WHERE field IN ('affiliation', 'interests')"""
+# words of articles and of search texts, stemmed
+_STEMMED = ["""vocabulary AS MATERIALIZED (SELECT DISTINCT word FROM (SELECT keyword AS word FROM index_raw
+                UNION ALL SELECT unnest(string_split(lower(text), ' ')) FROM search_requests) WHERE word <> '')""",
+            *stems("vocabulary"),
+            "stem_index AS MATERIALIZED (SELECT DISTINCT stem AS keyword, url FROM index_raw JOIN stems ON word = keyword)"]
+_SEARCH = f"""SELECT query_id, CAST(place AS INT) AS place, url, CAST(hits AS BIGINT) AS hits, headline, category FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY hits DESC, url) AS place FROM (
+      SELECT query_id, url, COUNT(*) AS hits
+      FROM (SELECT query_id, unnest(string_split(lower(text), ' ')) AS word FROM search_requests)
+        JOIN stems USING (word) JOIN stem_index ON stem = keyword GROUP BY query_id, url) QUALIFY place <= 5)
+  LEFT JOIN article USING (url)"""
 _ONLINE = f"COALESCE({NOW_MS} - lastAction <= 300000, FALSE)"
 
 
@@ -414,7 +426,9 @@ def oracle_sql() -> dict[str, str]:
               WHEN kind = 'interests' THEN CASE WHEN contains(coalesce(value, ''), ',') THEN NULL ELSE '{FEW_INTERESTS}' END
               WHEN coalesce(value, '') <> '' THEN NULL
               {" ".join(f"WHEN kind = '{k}' THEN '{m}'" for k, m in EMPTY_FORM.items())} END AS reason FROM form_rows)""", "form_rows"),
-        # search; the stemmed queries have no SQL
+        # search
+        "keyword_index": _sql("SELECT keyword, url FROM stem_index", "index_raw", "search_requests", extra=_STEMMED),
+        "news_search": _sql(_SEARCH, "index_raw", "search_requests", "article", extra=_STEMMED),
         "keyword_index_raw": _sql("SELECT keyword, url FROM index_raw", "index_raw"),
         "keyword_hits": _sql("SELECT query_id, url, hits FROM hits", "hits"),
         "keyword_top5": _sql("""SELECT query_id, url, hits, CAST(place AS INT) AS place FROM (
