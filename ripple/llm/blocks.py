@@ -29,7 +29,7 @@ BUCKET_ENTRIES = 1 << 21
 
 
 class BlockTable:
-    """The documents of one run as blocks. ``drop`` it when the result has been written."""
+    """The documents of one run as blocks, inside a ``with``; the table goes at its end, so write results before."""
 
     def __init__(self, docs: DataFrame, rows: int = BLOCK_ROWS):
         self.spark = docs.sparkSession
@@ -41,10 +41,10 @@ class BlockTable:
         tasks = max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
         placed.write.option("compression", "zstd").bucketBy(tasks, "block").sortBy("block", "row").saveAsTable(self.name)
 
-    def read(self) -> DataFrame:
+    def __enter__(self) -> DataFrame:
         return self.spark.table(self.name)
 
-    def drop(self) -> None:
+    def __exit__(self, *_) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
 
 

@@ -161,11 +161,8 @@ def _sent(rows: Iterator[tuple]) -> pa.Table:
     return pa.table({name: pa.array(c, kind) for (name, kind), c in zip(kinds.items(), columns)})
 
 
-def remove_repeats(docs: DataFrame, scratch: Scratch, length: int = LENGTH) -> DataFrame:
-    """``doc_id``, ``n_words``, ``n_removed``, ``kept_sha256`` of every row."""
+def _removed(placed: DataFrame, scratch: Scratch, length: int) -> DataFrame:
     lengths = lower_levels(length)
-    table = blocks.BlockTable(docs)
-    placed = table.read()
     # a word and its white space take some six bytes
     buckets = blocks.n_buckets((placed.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6)
 
@@ -212,7 +209,11 @@ def remove_repeats(docs: DataFrame, scratch: Scratch, length: int = LENGTH) -> D
         replies = replies.unionByName(scratch.save(answered, f"level{number}"))
     asked = by_block.cogroup(replies.groupBy("block")).applyInArrow(last_pass, SENT)
     replies = replies.unionByName(scratch.save(asked.groupBy("bucket").applyInArrow(_answer_first, SENT), "last"))
-    out = scratch.save(by_block.cogroup(replies.groupBy("block")).applyInArrow(
+    return scratch.save(by_block.cogroup(replies.groupBy("block")).applyInArrow(
         result, "doc_id long, n_words long, n_removed long, kept_sha256 string"), "result")
-    table.drop()
-    return out
+
+
+def remove_repeats(docs: DataFrame, scratch: Scratch, length: int = LENGTH) -> DataFrame:
+    """``doc_id``, ``n_words``, ``n_removed``, ``kept_sha256`` of every row."""
+    with blocks.BlockTable(docs) as placed:
+        return _removed(placed, scratch, length)

@@ -211,10 +211,7 @@ def _answer_strings(group: pa.Table) -> pa.Table:
     return _replies(group, STRING, sizes, flags)
 
 
-def remove_repeats(docs: DataFrame, scratch: Scratch, length: int = LENGTH) -> DataFrame:
-    """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` of every row."""
-    table = blocks.BlockTable(docs)
-    placed = table.read()
+def _removed(placed: DataFrame, scratch: Scratch, length: int) -> DataFrame:
     v, cover = difference_cover(length)
     total = placed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = blocks.n_buckets(total * len(cover) // v)
@@ -250,7 +247,11 @@ def remove_repeats(docs: DataFrame, scratch: Scratch, length: int = LENGTH) -> D
     for stage, answer in ((TUPLE, blocks.answer_coarse), (INSIDE, _answer_contexts), (STRING, _answer_strings)):
         asked = by_block.cogroup(replies.groupBy("block")).applyInArrow(ask(stage), SENT)
         replies = replies.unionByName(scratch.save(asked.groupBy("bucket").applyInArrow(answer, SENT), f"stage{stage}"))
-    out = scratch.save(by_block.cogroup(replies.groupBy("block")).applyInArrow(
+    return scratch.save(by_block.cogroup(replies.groupBy("block")).applyInArrow(
         result, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"), "result")
-    table.drop()
-    return out
+
+
+def remove_repeats(docs: DataFrame, scratch: Scratch, length: int = LENGTH) -> DataFrame:
+    """``doc_id``, ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` of every row."""
+    with blocks.BlockTable(docs) as placed:
+        return _removed(placed, scratch, length)
