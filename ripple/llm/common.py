@@ -31,15 +31,16 @@ def ranked(df: DataFrame, scratch: Scratch, keys: list[str], order: list[str], v
     """``df`` with, for each item of ``values``, a column of that name: the sum of the value column over
     the rows of the same keys that come earlier.
 
-    A distributed prefix sum. Rows are range-partitioned by keys and order, so that the rows of one
-    hot key lie in many partitions; the sorted rows are written once, with the partition they fell
-    in. Sums per partition and key (one row each) give every partition its offset. No task sees
+    A distributed prefix sum. Rows are written, as the range sort reads them twice (bounds, then rows);
+    they are range-partitioned by keys and order, so that the rows of one hot key lie in many
+    partitions; the sorted rows are written with the partition they fell in. Sums per partition and key (one row each) give every partition its offset. No task sees
     more than one partition of rows, and the window over offsets sees one row per partition.
 
     Null keys form a key of their own. Rows equal in keys and order come in any order.
     """
     columns = df.columns
     sort = [F.col(c).asc_nulls_last() for c in [*keys, *order]]
+    df = scratch.save(df, f"{name}-rows")
     placed = scratch.save(df.repartitionByRange(*sort).sortWithinPartitions(*sort)
                           .withColumn("_part", F.spark_partition_id()), name)
     local = placed.groupBy("_part", *keys).agg(*[F.sum(v).alias(f"_sum_{n}") for n, v in values.items()])
