@@ -46,15 +46,15 @@ def targets(sizes: DataFrame, scratch: Scratch, weights=WEIGHTS, share: float =
                           (F.col("before") % len(weights) + 1).cast("int")).cast("long")
     rows = scratch.save(placed.select("source", "source_size", weight.alias("w"),
                                       (F.col("source_size") * max_epochs).alias("cap")), "weights")
-    total = rows.agg(F.sum("source_size")).first()[0] or 0
+    total, weight_of_all = rows.agg(F.coalesce(F.sum("source_size"), F.lit(0)), F.coalesce(F.sum("w"), F.lit(0))).first()
     budget = int(total * share)
-    left, over = budget, 0      # what the sources below their limit share, and by which weight
-    over = rows.agg(F.sum("w")).first()[0] or 0
+    left, over = budget, weight_of_all      # what the sources below their limit share, and their weight
     while True:
         # a source is at its limit when its part, left * w / over, would be above
-        full = F.col("cap") * F.lit(over) < F.lit(left) * F.col("w")
-        at, taken, used = rows.filter(full).agg(F.count(F.lit(1)), F.sum("cap"), F.sum("w")).first()
-        new_left, new_over = budget - (taken or 0), (rows.agg(F.sum("w")).first()[0] or 0) - (used or 0)
+        wide = [F.lit(n).cast("decimal(19,0)") for n in (over, left)]
+        full = F.col("cap").cast("decimal(19,0)") * wide[0] < wide[1] * F.col("w").cast("decimal(19,0)")
+        taken, used = rows.filter(full).agg(F.coalesce(F.sum("cap"), F.lit(0)), F.coalesce(F.sum("w"), F.lit(0))).first()
+        new_left, new_over = budget - taken, weight_of_all - used
         if (new_left, new_over) == (left, over) or new_over <= 0:
             break
         left, over = new_left, new_over
