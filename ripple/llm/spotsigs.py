@@ -21,6 +21,7 @@ is its own neighbour. Empty table: empty result.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -37,11 +38,22 @@ CHAIN = 3
 NEAR = 0.8
 
 
+def _any_of(words: Iterable[str]) -> str:
+    """A pattern for any of the words that looks at each letter once."""
+    rest: dict[str, list[str]] = {}
+    for word in sorted(set(words)):
+        if word:
+            rest.setdefault(word[0], []).append(word[1:])
+    branches = [letter + (_any_of(tails) if any(tails) else "") for letter, tails in rest.items()]
+    return "(?:" + "|".join(branches) + ")" + ("?" if "" in words else "")
+
+
 def content(text: Column, anchors=ANCHORS) -> Column:
     """Content words in order; one that follows an anchor is marked by ``~``."""
-    plain = F.concat(F.lit(" "), F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
-    plain = F.regexp_replace(plain, "  +", " ")
-    marked = F.trim(F.regexp_replace(plain, " (?:(?:" + "|".join(sorted(set(anchors), key=len, reverse=True)) + ") )+", " ~"))
+    plain = F.regexp_replace(F.concat(F.lit(" "), F.lower(text), F.lit(" ")), r"[^\p{L}\p{N}]+", " ")
+    # one mark for each anchor, then one for each run of marks; a repeated group would need a stack frame per word
+    marked = F.regexp_replace(plain, " " + _any_of(anchors) + "(?= )", " ~")
+    marked = F.trim(F.regexp_replace(marked, " ~[ ~]*", " ~"))
     # the start of the text anchors too; common words at the end leave a mark without a word
     begun = F.regexp_replace(F.rtrim(F.regexp_replace(marked, "~$", "")), "^(?=[^~])", "~")
     return F.split(begun, " ")

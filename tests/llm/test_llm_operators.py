@@ -27,7 +27,8 @@ def sample(seed=1, n=40):
     base = [" ".join(g.choice(WORDS) + str(g.randint(0, 30)) for _ in range(g.randint(0, 120))) for _ in range(n)]
     rows = [(i, t) for i, t in enumerate(base)]
     rows += [(100, None), (101, ""), (102, " \t\n"), (103, "one"), (104, base[3]), (104, base[3]), (105, base[5] + "  "),
-             (106, base[7].replace(" ", "\n")), (107, base[9][:-4] + "zzz"), (None, base[2]), (108, "naïve ß ééé 日本"), (109, "x " * 3000)]
+             (106, base[7].replace(" ", "\n")), (107, base[9][:-4] + "zzz"), (None, base[2]), (108, "naïve ß ééé 日本"), (109, "x " * 3000),
+             (110, "the of " * 20_000 + "end")]
     return [(i, t, "en" if (i or 0) % 3 else "xx", ("s" + str((i or 0) % 4)) if (i or 0) % 5 else None, len(t or "")) for i, t in rows]
 
 
@@ -263,9 +264,11 @@ def test_near_duplicates(docs, empty, scratch, spark):
     assert bagminhash.near_duplicates(empty, Scratch(spark, "test")).count() == 0
 
 
-def test_chains_of_near_copies_beside_one_center(spark, scratch, monkeypatch):
+@pytest.mark.parametrize("small, block", [(1000, 1000), (4, 3), (2, 16)])
+def test_chains_of_near_copies_beside_one_center(spark, scratch, monkeypatch, small, block):
     """Links between texts that are both unlike the smallest node of their bucket are found."""
-    monkeypatch.setattr(bagminhash, "BLOCK", 3)
+    monkeypatch.setattr(bagminhash, "BLOCK", block)
+    monkeypatch.setattr(bagminhash, "SMALL", small)
     g = random.Random(5)
     words = [f"w{i}" for i in range(200)]
     rows = []
