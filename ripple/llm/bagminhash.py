@@ -14,13 +14,17 @@ with the probability of their overlap, as all randomness hangs on window, interv
 
 **Search.** Equal texts are one node. Nodes with the same band of ``ROWS`` components are compared:
 
-1. every node with the smallest node of its bucket (a star, not all pairs);
+1. every node with the smallest node of its bucket (a star, not all pairs), in the first ``STAR_BANDS`` bands;
 2. verified links (exact overlap of the words themselves) are joined to components;
-3. in buckets that still hold several components, all nodes of different components, in blocks of
-   ``BLOCK`` nodes against each other, where only pairs with an estimate above ``MAYBE`` leave the task.
+3. in buckets of any band that still hold several components, all nodes of different components whose estimate is above
+   ``MAYBE``, each pair in the first band it shares. Buckets of at most ``SMALL`` nodes give pairs, which are
+   verified like those of the star. Larger ones are cut into blocks of about ``BLOCK`` nodes that carry their multisets; two blocks meet
+   in one task, which takes the exact overlaps of all pairs as products of matrices and gives out only links that
+   join components (fewer than the nodes), so no pairs of a large group leave a task.
 
 So each pair that shares a bucket is either in one component already or is compared; there is no limit on
-the size of a bucket. With 21 bands of 3 a pair at 0.8 is missed with probability 3e-7.
+the size of a bucket. With 21 bands of 3 a pair at 0.8 is missed with probability 3e-7, and has an estimate below
+``MAYBE`` (four standard deviations) with one of 5e-5.
 
 Nulls and texts without words have no windows: they are linked with equal texts only. Rows with a null or
 repeated id are classed like others. Empty table: empty result.
@@ -37,10 +41,12 @@ from pyspark.sql import functions as F
 
 from ripple.llm.common import Scratch, text_or_empty
 from ripple.llm.hashing import U, mix, slices, words
+from ripple.operators.hot import split_join
 
 SHINGLE, SIMILARITY = 5, 0.8
 K, ROWS = 63, 3
-BLOCK, MAYBE = 256, 0.5
+STAR_BANDS = 7
+SMALL, BLOCK, MAYBE = 32, 128, 0.6
 
 
 def bags(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -170,23 +176,77 @@ def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         labels = labels.select("node", "label")
 
 
-_MEMBERS = "array<struct<node:long,label:long,signature:binary>>"
+def _side(members: pa.Array, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Nodes, labels and signatures of one list of members."""
+    own = members[i].values
+    signed = np.stack([np.frombuffer(x.as_py(), np.uint32) for x in own.field("signature")])
+    return own.field("node").to_numpy(), own.field("label").to_numpy(), signed
+
+
+def _promising(band: int, x: tuple, y: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """Places of pairs of different components with a promising estimate that share no earlier band."""
+    same = x[2][:, None, :] == y[2][None, :, :]
+    earlier = same[:, :, :band * ROWS].reshape(*same.shape[:2], band, ROWS).all(axis=3).any(axis=2)
+    return np.nonzero((same.mean(axis=2) >= MAYBE) & ~earlier & (x[1][:, None] != y[1][None, :]) & (x[0][:, None] != y[0][None, :]))
 
 
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of nodes of different components with a promising estimate, of two blocks of one bucket."""
+    """Promising pairs of a bucket of at most ``SMALL`` nodes."""
+    for b in batches:
+        for r in range(b.num_rows):
+            x = _side(b.column("members"), r)
+            i, j = _promising(b.column("band")[r].as_py(), x, x)
+            i, j = i[x[0][i] < x[0][j]], j[x[0][i] < x[0][j]]
+            yield pa.RecordBatch.from_arrays([pa.array(x[0][i]), pa.array(x[0][j])], ["a", "b"])
+
+
+def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A multiset as a set: the n-th occurrence of a window is an element of its own."""
+    for b in batches:
+        for first, data, offsets in slices(b.column("text")):
+            row, window, count = bags(data, offsets)
+            nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            element = mix(np.repeat(window, count) + nth.astype(U) * U(0xA24BAED4963EE407))
+            cut = np.searchsorted(np.repeat(row, count), np.arange(1, len(offsets) - 1))
+            yield pa.RecordBatch.from_arrays(
+                [b.column("node").slice(first, len(offsets) - 1),
+                 pa.array([e.tobytes() for e in np.split(element, cut)], pa.binary())], ["node", "elements"])
+
+
+def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of two blocks of a large bucket, links that join their components."""
     for b in batches:
         for r in range(b.num_rows):
-            x, y = b.column("left")[r].as_py(), b.column("right")[r].as_py()
-            sx, sy = (np.array([np.frombuffer(m["signature"], np.uint32) for m in z]) for z in (x, y))
-            lx, ly = (np.array([m["label"] for m in z]) for z in (x, y))
-            nx, ny = (np.array([m["node"] for m in z]) for z in (x, y))
-            a, c = [], []
-            for i in range(len(x)):
-                hit = np.flatnonzero(((sy == sx[i]).mean(axis=1) >= MAYBE) & (ly != lx[i]))
-                a.append(np.minimum(nx[i], ny[hit]))
-                c.append(np.maximum(nx[i], ny[hit]))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(z).astype(np.int64)) for z in (a, c)], ["a", "b"])
+            x, y = _side(b.column("left"), r), _side(b.column("right"), r)
+            i, j = _promising(b.column("band")[r].as_py(), x, y)
+            if not len(i):
+                continue
+            sets = [[np.frombuffer(e.as_py(), U) for e in b.column(c)[r].values.field("elements")] for c in ("left", "right")]
+            size = [np.array([len(e) for e in s]) for s in sets]
+            names, code = np.unique(np.concatenate([*sets[0], *sets[1]]), return_inverse=True)
+            shared = np.zeros((len(x[0]), len(y[0])), np.float32)
+            rows = np.repeat(np.arange(len(size[0]) + len(size[1])), np.concatenate(size))
+            for low in range(0, len(names), 8192):      # columns of the two matrices
+                here = (code >= low) & (code < low + 8192)
+                matrix = np.zeros((len(size[0]) + len(size[1]), min(8192, len(names) - low)), np.float32)
+                matrix[rows[here], code[here] - low] = 1
+                shared += matrix[:len(size[0])] @ matrix[len(size[0]):].T
+            both = shared[i, j]
+            near = both >= SIMILARITY * (size[0][i] + size[1][j] - both) - 1e-6
+            up: dict[int, int] = {}
+
+            def top(label: int) -> int:
+                while up.get(label, label) != label:
+                    label = up[label]
+                return label
+
+            found = []
+            for p, q in zip(i[near], j[near]):
+                one, two = top(x[1][p]), top(y[1][q])
+                if one != two:
+                    up[max(one, two)] = min(one, two)
+                    found.append((x[0][p], y[0][q]))
+            yield pa.RecordBatch.from_arrays([pa.array([int(f[k]) for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
 
 def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
@@ -197,37 +257,47 @@ def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
                          .withColumn("node", F.monotonically_increasing_id()), "nodes")
     in_bands = nodes.filter("signature is not null").select("node", F.posexplode(F.array(*[
         F.xxhash64(F.substring("signature", 4 * ROWS * i + 1, 4 * ROWS)) for i in range(K // ROWS)])).alias("band", "value")) \
-        .select(F.xxhash64("band", "value").alias("key"), "node")
+        .select(F.xxhash64("band", "value").alias("key"), "band", "node")
     banded = scratch.save(in_bands, "bands")
     buckets = scratch.save(banded.groupBy("key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets")
-    star = scratch.save(banded.join(buckets, "key").filter("node <> a").select("a", F.col("node").alias("b")).distinct(), "star")
+    star = scratch.save(banded.filter(F.col("band") < STAR_BANDS).join(buckets, "key").filter("node <> a").select("a", F.col("node").alias("b")).distinct(), "star")
 
-    def texts_of(pairs: DataFrame, name: str) -> DataFrame:
-        needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct().join(nodes.select("node", "hash"), "node")
+    def texts_of(needed: DataFrame, name: str) -> DataFrame:
+        wanted = needed.distinct().join(nodes.select("node", "hash"), "node")
         found = docs.select(F.md5(text_or_empty().cast("binary")).alias("hash"), text_or_empty().alias("text"))
-        return scratch.save(found.join(needed, "hash").groupBy("node").agg(F.first("text").alias("text")), name)
+        return scratch.save(found.join(wanted, "hash").groupBy("node").agg(F.first("text").alias("text")), name)
+
+    def ends(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
 
-    links = scratch.save(_verified(star, texts_of(star, "star-texts")), "links")
+    links = scratch.save(_verified(star, texts_of(ends(star), "star-texts")), "links")
     labels = components(links, scratch, "first")
     member = banded.join(buckets.select("key", "n"), "key").join(labels, "node", "left") \
         .withColumn("label", F.coalesce("label", "node"))
     several = member.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("key")
-    blocks = scratch.save(
-        member.join(several, "key").join(nodes.select("node", "signature"), "node")
-        .withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK)))
-        .groupBy("key", "block").agg(F.collect_list(F.struct("node", "label", "signature")).alias("members")), "blocks")
-    across = blocks.select("key", F.col("block").alias("i"), F.col("members").alias("left")) \
-        .join(blocks.select("key", F.col("block").alias("j"), F.col("members").alias("right")), "key") \
-        .filter("i <= j").select("left", "right").mapInArrow(_across, "a long, b long").distinct() \
-        .join(star, ["a", "b"], "left_anti")
-    more = scratch.save(across, "across")
+    open_ = scratch.save(member.join(several, "key").join(nodes.select("node", "signature"), "node"), "open")
+    small = open_.filter(F.col("n") <= SMALL).groupBy("key", "band").agg(F.collect_list(F.struct("node", "label", "signature")).alias("members"))
+    pairs = scratch.save(small.select("band", "members").mapInArrow(_across, "a long, b long").join(star, ["a", "b"], "left_anti"), "pairs")
+    more = _verified(pairs, texts_of(ends(pairs), "pair-texts"))
+    large = open_.filter(F.col("n") > SMALL)
+    if not large.isEmpty():
+        elements = scratch.save(texts_of(large.select("node"), "large-texts").mapInArrow(_elements, "node long, elements binary"), "elements")
+        blocks = scratch.save(
+            large.join(elements, "node").withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK)))
+            .groupBy("key", "band", "block").agg(F.collect_list(F.struct("node", "label", "signature", "elements")).alias("members")), "blocks")
+        across = blocks.select("key", "band", F.col("block").alias("i"), F.col("members").alias("left")) \
+            .join(blocks.select("key", F.col("block").alias("j"), F.col("members").alias("right")), "key").filter("i <= j")
+        more = more.unionByName(across.select("band", "left", "right").mapInArrow(_links, "a long, b long"))
+    more = scratch.save(more, "more-links")
     if not more.isEmpty():
-        links = links.unionByName(scratch.save(_verified(more, texts_of(more, "across-texts")), "more-links"))
-        labels = components(links, scratch, "second")
-    classed = signed.select("doc_id", "hash").join(nodes.select("hash", "node"), "hash").join(labels, "node", "left") \
-        .select("doc_id", "hash", F.coalesce("label", "node").alias("label"))
-    classes = classed.groupBy("label").agg(F.min(F.struct("doc_id", "hash")).alias("first"), F.count(F.lit(1)).alias("class_size"))
-    return classed.join(classes, "label").select(
+        labels = components(links.unionByName(more), scratch, "second")
+    classed = scratch.save(signed.select("doc_id", "hash").join(nodes.select("hash", "node"), "hash").join(labels, "node", "left")
+                           .select("doc_id", "hash", F.coalesce("label", "node").alias("label")), "classed")
+    classes = scratch.save(classed.groupBy("label").agg(F.min(F.struct("doc_id", "hash")).alias("first"),
+                                                        F.count(F.lit(1)).alias("class_size")), "classes")
+    # a class of very many documents is dealt over chunks
+    counts = classes.select("label", F.col("class_size").alias("n"))
+    return split_join(classed, classes, ["label"], counts, "doc_id").select(
         "doc_id", F.col("first.doc_id").alias("class_id"), "class_size",
         (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("hash") == F.col("first.hash"))).alias("kept"),
         F.col("hash").alias("text_md5"))
