@@ -440,7 +440,10 @@ def fit(sources: list[str], layouts: int = LAYOUTS, seed: int = 7) -> Trees:
 
 def train(pages: DataFrame, sample: int = SAMPLE) -> Trees:
     """From the pages with the smallest hash of their id; at most ``sample`` of them come to the driver."""
-    rows = pages.filter(F.length("html") < 50_000).select("html", F.xxhash64("page_id").alias("key")) \
+    key = F.xxhash64("page_id")
+    # the numbers come first, so that tasks send the driver no more pages than it takes
+    keys = [r[0] for r in pages.select(key.alias("key")).orderBy("key").limit(sample).collect()]
+    rows = pages.filter((F.length("html") < 50_000) & (key <= F.lit(max(keys, default=0)))).select("html", key.alias("key")) \
         .orderBy("key", F.xxhash64("html")).limit(sample).collect()
     return fit([r.html for r in rows])
 
