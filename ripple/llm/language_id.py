@@ -2,10 +2,12 @@
 
 One model per language over lower-cased letters (every run of other characters is one blank), of
 ``ORDER`` characters, fitted on a bounded sample of labelled rows: of each language the
-``SAMPLE`` documents with the smallest hash of their id among those of at most ``SAMPLE_CHARS``
-characters. The sample is drawn by a threshold per language, so no text is shuffled for it. Each
-language is counted in a task of its own; the tables (bounded by the sample) are merged on the
-driver into sorted hash arrays with one row of log probabilities for all languages, and broadcast.
+``SAMPLE`` documents with the smallest hash of their id, of any length. Of a document longer than
+``SAMPLE_CHARS`` characters, so many are taken from a place that its id decides; a language's budget
+is ``SAMPLE`` times ``SAMPLE_CHARS`` characters. The sample is drawn by a threshold per language, so no
+text is shuffled for it. Each language is counted in a task of its own; the tables (bounded by the
+sample) are merged on the driver into sorted hash arrays with one row of log probabilities for all
+languages, and broadcast.
 
 Every position of every whole text is scored: the longest known n-gram gives its row, an unknown one its
 context's back-off weights plus the row of the next shorter one. The language with the lowest mean
@@ -221,8 +223,7 @@ def remainder(doc_id: str = "doc_id") -> Column:
 def train(docs: DataFrame, scratch: Scratch, sample: int = SAMPLE, order: int = ORDER) -> Model:
     """Fitted on rows with a text, a language and an id whose crc32 mod 4 is not 2."""
     key = F.md5(F.col("doc_id").cast("string"))
-    rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder() != 2)
-                       & (F.length("text") <= SAMPLE_CHARS))
+    rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder() != 2))
     first = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
     # one row per language
     limits = rows.select("lang", key.alias("key")).withColumn("_n", first).filter(F.col("_n") <= sample) \
@@ -230,8 +231,10 @@ def train(docs: DataFrame, scratch: Scratch, sample: int = SAMPLE, order: int =
     if not limits:
         return Model([], [], [], 0.0)
     limit = F.create_map(*[F.lit(x) for row in limits for x in row])
+    places = F.greatest(F.length("text") - SAMPLE_CHARS + 1, F.lit(1))
+    piece = F.substring("text", (F.pmod(F.xxhash64("doc_id", F.lit("piece")), places) + 1).cast("int"), F.lit(SAMPLE_CHARS))
     drawn = scratch.save(rows.filter(key <= limit[F.col("lang")]).select(
-        "lang", "text", (F.xxhash64("doc_id") % 4 == 0).alias("calibrates")), "sample")
+        "lang", piece.alias("text"), (F.xxhash64("doc_id") % 4 == 0).alias("calibrates")), "sample")
     fields = ("n", "gram", "part", "context", "backoff", "shorter")
 
     def fit(group: pa.Table) -> pa.Table:

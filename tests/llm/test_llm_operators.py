@@ -134,6 +134,20 @@ def test_language_of_odd_rows(docs, empty, scratch):
     assert language_id.accepted(docs, model).columns == docs.columns
 
 
+def test_languages_of_long_documents_only(spark, scratch):
+    """Every labelled row is longer than a piece of the sample."""
+    g = random.Random(4)
+    words = {"en": "the house of a tree and that river with stone", "de": "das haus und der baum mit einem fluss aus stein"}
+    n = language_id.SAMPLE_CHARS // 4
+    rows = [(i, " ".join(g.choice(words[x].split()) for _ in range(n)), x) for i in range(12) for x in [("en", "de")[i % 2]]]
+    assert min(len(t) for _, t, _ in rows) > language_id.SAMPLE_CHARS
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.train(table, scratch)
+    assert model.languages == ["de", "en"]
+    found = language_id.identify(table, model).collect()
+    assert all(r.lang_pred == rows[r.doc_id][2] and not r.rejected for r in found)
+
+
 # -- 4
 
 def chains(text):
