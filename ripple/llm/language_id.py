@@ -12,7 +12,11 @@ languages, and broadcast.
 Every position of every whole text is scored: the longest known n-gram gives its row, an unknown one its
 context's back-off weights plus the row of the next shorter one. The language with the lowest mean
 cross-entropy wins. A quarter of the sample calibrates: the sharpness of ``score`` (a softmax over
-mean cross-entropies), and the cross-entropy above which a text is ``rejected`` as none of the languages.
+mean cross-entropies), and for each language the cross-entropy above which a text is ``rejected`` as none
+of the languages. That is taken from the rows whose prediction is their label, as the ``QUANTILE`` of their
+cross-entropies, so that wrong labels and a few rows of gibberish do not raise it; rows of under
+``LEAST`` characters count together, as rows of at least so many. A language without such a row takes the
+highest limit of the others; without any such row in the table only texts without a letter are rejected.
 
 Null texts and texts without a letter: ``und``, score 0, rejected. With no labelled row all are. Rows with a
 null id are scored but neither learned from nor held out. Empty table: empty result.
@@ -33,8 +37,9 @@ from ripple.llm.common import Scratch
 ORDER = 4
 SAMPLE, SAMPLE_CHARS = 400, 20_000
 UNKNOWN = "und"
-# above the highest calibrated cross-entropy by this factor, and by so many nats over the number of characters
+# above the calibrated cross-entropy by this factor, and by so many nats over the number of characters
 SLACK, SLACK_SHORT = 1.6, 25.0
+QUANTILE, LEAST = 0.9, 50
 _P = np.uint64(0x9E3779B97F4A7C15)
 _letters: np.ndarray | None = None
 
@@ -111,7 +116,7 @@ class Model:
     contexts: list[tuple[np.ndarray, np.ndarray]]    # by n: sorted hashes, log back-off weight of each language
     floor: float                                     # log p of an unknown character
     sharpness: float = 8.0
-    highest: float = np.inf
+    highest: np.ndarray | float = np.inf             # calibrated cross-entropy of each language
 
     def log_p(self, by_n: list[np.ndarray], at: np.ndarray, n: int) -> np.ndarray:
         """log p of the characters at the given positions, given the n - 1 before."""
@@ -159,7 +164,7 @@ class Model:
         best = entropy.argmin(axis=1)
         low = entropy[np.arange(len(best)), best]
         score = 1 / np.exp(-self.sharpness * (entropy - low[:, None])).sum(axis=1)
-        limit = self.highest * SLACK + SLACK_SHORT / np.maximum(n, 1)
+        limit = np.broadcast_to(self.highest, len(self.languages))[best] * SLACK + SLACK_SHORT / np.maximum(n, 1)
         return [(self.languages[b], float(s), bool(x > m), float(x)) if k else (UNKNOWN, 0.0, True, None)
                 for b, s, x, m, k in zip(best, score, low, limit, n)]
 
@@ -199,20 +204,41 @@ def merge(fits: dict[str, list], order: int = ORDER) -> Model:
     return model
 
 
+def grouped(entropy: np.ndarray, n: np.ndarray, least: int = LEAST) -> np.ndarray:
+    """Mean cross-entropies of texts, short ones (in the given order) counted together as texts of ``least`` characters."""
+    out, total, size = list(entropy[n >= least]), 0.0, 0
+    for x, k in zip(entropy[n < least], n[n < least]):
+        total, size = total + x * k, size + k
+        if size >= least:
+            out.append(total / size)
+            total, size = 0.0, 0
+    if size and not out:        # all texts together are shorter
+        out.append(total / size)
+    return np.array(out)
+
+
 def calibrate(model: Model, texts: list[str], labels: list[str]) -> None:
-    entropy, n = model.entropies(texts)
-    kept = n >= 50
-    if not kept.any() or not model.languages:
+    if not model.languages:
         return
-    entropy, truth = entropy[kept], np.array([model.languages.index(x) if x in model.languages else -1 for x in labels])[kept]
-    model.highest = float(entropy.min(axis=1).max())
-    entropy, truth = entropy[truth >= 0], truth[truth >= 0]
+    entropy, n = model.entropies(texts)
+    truth = np.array([model.languages.index(x) if x in model.languages else -1 for x in labels])
+    kept = (n > 0) & (truth >= 0)
+    entropy, n, truth = entropy[kept], n[kept], truth[kept]
     if not len(truth):
         return
+    agrees = entropy.argmin(axis=1) == truth
+    limits = np.full(len(model.languages), np.nan)
+    for j in range(len(limits)):
+        own = agrees & (truth == j)
+        if own.any():
+            limits[j] = np.quantile(grouped(entropy[own, j], n[own]), QUANTILE)
+    if agrees.any():
+        model.highest = np.where(np.isnan(limits), np.nanmax(limits), limits)
+    weight = np.minimum(n, LEAST)
 
     def loss(s: float) -> float:
         z = -s * (entropy - entropy.min(axis=1, keepdims=True))
-        return float(-(z[np.arange(len(truth)), truth] - np.log(np.exp(z).sum(axis=1))).mean())
+        return float(-np.average(z[np.arange(len(truth)), truth] - np.log(np.exp(z).sum(axis=1)), weights=weight))
     model.sharpness = min((2.0 ** k for k in range(0, 6)), key=loss)
 
 
@@ -253,7 +279,7 @@ def train(docs: DataFrame, scratch: Scratch, sample: int = SAMPLE, order: int =
         unsigned = [np.array(r[f], np.int64).view(np.uint64) for f in ("gram", "context", "shorter")]
         fits.setdefault(r.lang, []).append((r.n, unsigned[0], np.array(r.part), unsigned[1], np.array(r.backoff), unsigned[2]))
     model = merge(fits, order)
-    held = drawn.filter("calibrates").collect()
+    held = sorted(drawn.filter("calibrates").collect(), key=lambda r: (r.lang, r.text))
     if held:
         calibrate(model, [r.text for r in held], [r.lang for r in held])
     return model

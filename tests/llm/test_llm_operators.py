@@ -148,6 +148,36 @@ def test_languages_of_long_documents_only(spark, scratch):
     assert all(r.lang_pred == rows[r.doc_id][2] and not r.rejected for r in found)
 
 
+def small_model():
+    """Two languages, and sentences of each that the models did not see."""
+    g = random.Random(5)
+    words = {"en": "the house of a tree and that river with stone", "de": "das haus und der baum mit einem fluss aus stein"}
+    sentences = {x: [" ".join(g.choice(w.split()) for _ in range(30)) for _ in range(60)] for x, w in words.items()}
+    model = language_id.merge({x: language_id.fit_one(t[:30]) for x, t in sentences.items()})
+    return model, [(t, x) for x, ts in sentences.items() for t in ts[30:]]
+
+
+FOREIGN = ["это дом и дерево возле реки на которой стоит камень " * 4, "το σπίτι και το δέντρο δίπλα στο ποτάμι " * 4]
+
+
+def test_rejection_despite_wrong_labels():
+    model, held = small_model()
+    noise = [(FOREIGN[0], "en"), (FOREIGN[1], "de"), ("qxzj wvkq xxqz " * 10, "en"), (held[0][0], "de")]
+    texts, labels = zip(*held, *noise)
+    language_id.calibrate(model, list(texts), list(labels))
+    assert [x[2] for x in model.predict(FOREIGN)] == [True, True]
+    assert not any(x[2] for x in model.predict([t for t, _ in held]))
+
+
+def test_rejection_learned_from_short_rows():
+    model, held = small_model()
+    short = [(t[:24], x) for t, x in held]
+    language_id.calibrate(model, [t for t, _ in short], [x for _, x in short])
+    assert np.isfinite(model.highest).all()
+    assert [x[2] for x in model.predict(FOREIGN)] == [True, True]
+    assert not any(x[2] for x in model.predict([t for t, _ in short]))
+
+
 # -- 4
 
 def chains(text):
