@@ -9,10 +9,11 @@ punctuation and characters per tag of the subtree; depth; place among siblings a
 siblings look alike; share of the parent's text.
 
 **Training.** No table has labels, so truth comes from layouts. The paragraphs of at most ``SAMPLE`` pages (those with
-the smallest hash of their id) are laid out again at random as articles among menus, headers, sidebars,
+the smallest hash of their id among those with html, of any length) are laid out again at random as articles among menus, headers, sidebars,
 notices, adverts, forms, comments and footers in many spellings; a node is positive if it holds article text. The
 trees minimise the log loss over these nodes (binned features, second-order gains). The fitting is bounded by the
-sample, and the same at any table size.
+sample, and the same at any table size: a page gives its first ``PARAGRAPHS`` paragraphs, the most that a layout
+takes, in at most ``PAGE_CHARS`` characters.
 
 **Decoding.** A kept node needs all its ancestors kept: of all such choices the one with the largest sum of log odds is
 taken, by one pass up and one pass down the tree. So no menu entry survives in a dropped menu.
@@ -35,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE, LAYOUTS = 300, 1_500
+PARAGRAPHS, PAGE_CHARS = 60, 50_000
 TREES, DEPTH, RATE, BINS = 60, 4, 0.25, 32
 
 #: Elements of HTML by their role.
@@ -412,15 +414,26 @@ def paragraphs_of(source: str) -> list[str]:
     return [html.escape(t) for node, t in page.runs if page.nodes[node].tag == "p"]
 
 
+def bounded(paragraphs: list[str], most: int = PARAGRAPHS, chars: int = PAGE_CHARS) -> list[str]:
+    """The first paragraphs; the last one is cut where there are too many characters."""
+    out = []
+    for t in paragraphs[:most]:
+        if chars <= 0:
+            break
+        out.append(t[:chars])
+        chars -= len(t)
+    return out
+
+
 def pick_most(g: np.random.Generator) -> int:
     """Articles have from one to many paragraphs."""
     return int((4, 12, 60)[int(g.integers(3))])
 
 
-def fit(sources: list[str], layouts: int = LAYOUTS, seed: int = 7) -> Trees:
+def fit(pages: list[list[str]], layouts: int = LAYOUTS, seed: int = 7) -> Trees:
     """Trees from at least ``layouts`` layouts of these pages' paragraphs, as many of each."""
     g = np.random.default_rng(seed)
-    texts = [p for p in map(paragraphs_of, sources) if p] or [["no text at all here"]]
+    texts = [p for p in pages if p] or [["no text at all here"]]
     other = [t for p in texts for t in p if t.count(" ") > 4] or ["no text at all here"]
     xs, ys = [], []
     for paragraphs in texts:
@@ -438,14 +451,25 @@ def fit(sources: list[str], layouts: int = LAYOUTS, seed: int = 7) -> Trees:
     return boost(np.concatenate(xs), np.concatenate(ys))
 
 
-def train(pages: DataFrame, sample: int = SAMPLE) -> Trees:
-    """From the pages with the smallest hash of their id; at most ``sample`` of them come to the driver."""
+def drawn(pages: DataFrame, sample: int = SAMPLE) -> list[list[str]]:
+    """Paragraphs of the pages with the smallest hash of their id; at most ``sample`` pages' come to the driver."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [bounded(paragraphs_of(s.as_py())) for s in b.column("html")]
+            yield pa.RecordBatch.from_arrays([b.column("key"), b.column("tie"), pa.array(found, pa.list_(pa.string()))],
+                                             ["key", "tie", "paragraphs"])
+
     key = F.xxhash64("page_id")
+    usable = pages.filter(F.length("html") > 0).select(key.alias("key"), F.xxhash64("html").alias("tie"), "html")
     # the numbers come first, so that tasks send the driver no more pages than it takes
-    keys = [r[0] for r in pages.select(key.alias("key")).orderBy("key").limit(sample).collect()]
-    rows = pages.filter((F.length("html") < 50_000) & (key <= F.lit(max(keys, default=0)))).select("html", key.alias("key")) \
-        .orderBy("key", F.xxhash64("html")).limit(sample).collect()
-    return fit([r.html for r in rows])
+    keys = [r[0] for r in usable.select("key").orderBy("key").limit(sample).collect()]
+    rows = usable.filter(F.col("key") <= F.lit(max(keys, default=0))) \
+        .mapInArrow(run, "key long, tie long, paragraphs array<string>").orderBy("key", "tie").limit(sample).collect()
+    return [r.paragraphs for r in rows]
+
+
+def train(pages: DataFrame, sample: int = SAMPLE) -> Trees:
+    return fit(drawn(pages, sample))
 
 
 def extract(pages: DataFrame, trees: Trees) -> DataFrame:

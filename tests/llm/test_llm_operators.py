@@ -484,3 +484,14 @@ def test_a_kept_node_has_kept_ancestors():
     page = html_extraction.parse("<div><div><p>a</p></div><div><p>b</p><p>c</p></div></div>")
     keep = html_extraction.decode(page, np.array([0, -1, -5, 3, -1, 2, 2], float))
     assert keep.tolist() == [True, True, False, False, True, True, True]
+
+
+def test_sample_of_long_and_missing_pages(spark):
+    """All pages but five have no html or more than 50,000 characters."""
+    long = "<body>" + "<p>a river and a stone</p>" * 3_000 + "</body>"
+    rows = [(i, None if i % 2 else "<body><p>short page</p></body>" if i % 100 == 0 else long) for i in range(500)]
+    rows += [(1000, "<p>" + "word " * 100_000 + "</p>")]
+    found = html_extraction.drawn(spark.createDataFrame(rows, "page_id long, html string"), 251)
+    assert len(found) == 251 and all(found)
+    assert sorted({len(p) for p in found}) == [1, html_extraction.PARAGRAPHS]
+    assert max(sum(map(len, p)) for p in found) == html_extraction.PAGE_CHARS
