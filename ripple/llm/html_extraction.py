@@ -2,7 +2,8 @@
 
 **Nodes.** A tolerant parser turns a page into its block elements; inline elements belong to the block around them.
 A run of text of one block without a block in between is a text block. Scripts, styles, comments of the
-markup, and what browsers do not show as text are not parsed.
+markup, and what browsers do not show as text are left out: scripts, styles, text areas and titles up to their
+closing tag, other such elements (``UNSEEN``) up to theirs or, if they have none, to the end of their parent.
 
 **Features.** Kind of tag; words of class, id and role of the node and its ancestors; text length, link density,
 punctuation and characters per tag of the subtree; depth; place among siblings and on the page; how many
@@ -27,6 +28,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -40,7 +42,9 @@ PARAGRAPHS, PAGE_CHARS = 60, 50_000
 TREES, DEPTH, RATE, BINS = 60, 4, 0.25, 32
 
 #: Elements of HTML by their role.
-UNSEEN = "script style noscript template svg math iframe object canvas audio video textarea select button title head"
+RAW = "script|style|textarea|title"
+UNSEEN = set("noscript template svg math iframe object canvas audio video select button".split())
+FOREIGN = {"svg", "math"}       # in these a tag that ends with "/" is closed, and there is no raw text
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
              "strike strong sub sup time tt u var wbr img input picture map output nobr".split())
@@ -60,10 +64,12 @@ AWAY = set("ad ads adv advert advertisement advertising adsense alert announceme
            "complementary contentinfo sr only".split())
 HERE = set("article articlebody body content entry main post story text maincontent page prose blog column primary".split())
 
+_TAGS = (r"<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][\w:-]*)([^>]*)>|<[!?/][^>]*>")
+_COMMENT = r"<!--.*?(?:-->|\Z)|"
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|math|iframe|object|canvas|audio|video|textarea|select|button|title)\b"
-    r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][\w:-]*)([^>]*)>|<[!?/][^>]*>", re.S | re.I)
+    _COMMENT + rf"<({RAW})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)|" + _TAGS, re.S | re.I)
+# the same groups where there is no raw text
+_FOREIGN_TOKEN = re.compile(_COMMENT + r"((?!))|" + _TAGS, re.S | re.I)
 _ATTRIBUTE = re.compile(r"\b(class|id|role|aria-label|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
@@ -96,6 +102,8 @@ def parse(source: str | None) -> Page:
     stack = [0]
     pieces: list[str] = []
     in_link, at = 0, 0
+    unseen: list[str] = []              # the open unseen element and the elements open in it
+    inline: Counter[str] = Counter()    # open inline elements outside of it
 
     def flush() -> None:
         text = _SPACE.sub(" ", "".join(pieces)).strip()
@@ -122,19 +130,42 @@ def parse(source: str | None) -> Page:
             if nodes[stack[i]].tag in barrier:
                 return
 
+    def ends_parent(name: str, ending: bool) -> bool:
+        """Whether a tag that closes nothing in the unseen element ends the element around it."""
+        if ending:
+            return name in ("html", "body") or inline[name] > 0 or any(nodes[i].tag == name for i in stack[1:])
+        tag = nodes[stack[-1]].tag
+        return len(unseen) == 1 and any(name in group and tag in group for group in (("li",), ("dt", "dd"), ("td", "th", "tr")))
+
     source = source or ""
-    for token in _TOKEN.finditer(source):
-        add(source[at:token.start()])
+    while token := (_FOREIGN_TOKEN if FOREIGN.intersection(unseen) else _TOKEN).search(source, at):
+        if not unseen:
+            add(source[at:token.start()])
         at = token.end()
         name = token[3] or token[6]
         if not name:
             continue
         name, ending, attributes = name.lower(), token[2] or token[5], token[4] or token[7] or ""
+        if unseen:
+            if ending and name in unseen:
+                while unseen.pop() != name:
+                    pass
+                continue
+            if not ends_parent(name, bool(ending)):
+                if not ending and name not in VOID and not (attributes.endswith("/") and FOREIGN.intersection((*unseen, name))):
+                    unseen.append(name)
+                continue
+            unseen.clear()
         if name in ("html", "body", "head"):
             continue
-        if name == "br":
+        if name in UNSEEN:
+            if not ending and not (name in FOREIGN and attributes.endswith("/")):
+                unseen.append(name)
+        elif name == "br":
             pieces.append(" ")
         elif name in INLINE:
+            if name not in VOID:
+                inline[name] = max(inline[name] + (-1 if ending else 1), 0)
             nodes[stack[-1]].tags += 1
             if name == "a":
                 in_link = 0 if ending else 1
@@ -168,7 +199,8 @@ def parse(source: str | None) -> Page:
             nodes.append(node)
             if attributes.endswith("/"):
                 stack.pop()
-    add(source[at:] if not source[at:].startswith("<") else "")
+    if not unseen:
+        add(source[at:] if not source[at:].startswith("<") else "")
     flush()
     return Page(nodes, runs)
 

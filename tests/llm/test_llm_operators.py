@@ -495,3 +495,20 @@ def test_sample_of_long_and_missing_pages(spark):
     assert len(found) == 251 and all(found)
     assert sorted({len(p) for p in found}) == [1, html_extraction.PARAGRAPHS]
     assert max(sum(map(len, p)) for p in found) == html_extraction.PAGE_CHARS
+
+
+@pytest.mark.parametrize("source, want", [
+    ('<nav><svg class="i"/></nav><article><p>Hello</p></article>', ["Hello"]),
+    ('<video-js id="v"></video-js><p>Hello</p><video src="x">none</video>', ["Hello"]),
+    ("<button-group><button>Go</button></button-group><p>Hello</p>", ["Hello"]),
+    ('<div><video src="x">unseen</div><p>Hello</p>', ["Hello"]),
+    ('<p>One <a href="x"><svg class="i"></a> two</p><p>Hello</p>', ["One two", "Hello"]),
+    ("<ul><li><canvas>x<li>Hello</ul><p>There</p>", ["Hello", "There"]),
+    ('<svg><style/><title>t</title><path d="m"/><svg></svg>x</svg><p>Hello</p>', ["Hello"]),
+    ("<object>a<object>b</object>c</object><select><option>x<option>y</select><p>Hello</p>", ["Hello"]),
+    ("<noscript><div><p>none</p></div></noscript><p>Hello</p><script>if (a < b) '</p>'</script >there", ["Hello", "there"]),
+    ("<textarea><p>x</p>", []),
+    ("<iframe src='x'/>y</iframe><p>Hello</p>", ["Hello"]),
+])
+def test_unseen_elements(source, want):
+    assert [t for _, t in html_extraction.parse(source).runs] == want
