@@ -234,6 +234,7 @@ def features(page: Page) -> np.ndarray:
     whole = max(size[0], 1)
     out = np.zeros((n, N_KINDS + 24), np.float32)
     depth, away, here, away_tag, here_tag = (np.zeros(n) for _ in range(5))
+    tags_of = [Counter(nodes[s].tag for s in v.children) for v in nodes]
     for i, v in enumerate(nodes):
         p = v.parent
         if p >= 0:
@@ -241,7 +242,7 @@ def features(page: Page) -> np.ndarray:
             away[i], here[i] = away[p] + (nodes[p].away > 0), here[p] + (nodes[p].here > 0)
             away_tag[i], here_tag[i] = away_tag[p] + (nodes[p].tag in AWAY_TAGS), here_tag[p] + (nodes[p].tag in ("article", "main"))
         sibs = nodes[p].children if p >= 0 else [0]
-        alike = sum(nodes[s].tag == v.tag for s in sibs) if len(sibs) < 50 else len(sibs)
+        alike = tags_of[p][v.tag] if p >= 0 else 1
         out[i, KINDS.get(v.tag, N_KINDS - 1)] = 1
         out[i, N_KINDS:] = (
             v.away, v.here, away[i], here[i], away_tag[i], here_tag[i], math.log1p(size[i]), math.log1p(v.own),

@@ -512,3 +512,10 @@ def test_sample_of_long_and_missing_pages(spark):
 ])
 def test_unseen_elements(source, want):
     assert [t for _, t in html_extraction.parse(source).runs] == want
+
+
+@pytest.mark.parametrize("n", [10, 48, 49, 60, 500])
+def test_siblings_that_look_alike_are_counted(n):
+    page = html_extraction.parse("<article><h1>a</h1>" + "<p>b</p>" * n + "</article>")
+    alike = html_extraction.features(page)[:, html_extraction.N_KINDS + 15]
+    assert np.allclose(alike, [1, 1, 1 / (n + 1), *[n / (n + 1)] * n])
