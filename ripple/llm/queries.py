@@ -27,7 +27,8 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
-    return spotsigs.fingerprints(table(spark, folder, "documents"), Scratch(spark, "fingerprints"))
+    docs = table(spark, folder, "documents")
+    return spotsigs.fingerprints(docs, Scratch(spark, "fingerprints"), spotsigs.frequent_words(docs))
 
 
 def op5_packing(spark: SparkSession, folder: str) -> DataFrame:

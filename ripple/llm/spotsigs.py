@@ -1,7 +1,11 @@
 """SpotSigs: document fingerprints from chains of content words that follow common words.
 
-Words are runs of letters and digits, in lower case. Each run of common words (``ANCHORS``), and the start of a
-text, anchors a chain of the next ``CHAIN`` content words; where common words lie between those, that is part of the
+Words are runs of letters and digits, in lower case; a letter of a script without spaces (``SPACELESS``) is a word.
+The common words are counted over all documents (``frequent_words``): of each value of ``lang`` (null is one) and
+script, and of numbers, the ``COMMON`` words that are in most documents, so that texts of any language get chains
+along their whole length (fewer where there are so few words that this is more than a quarter of them); of all
+these at most the ``COMMON_MOST`` most frequent. Words longer than ``WORD_CHARS``
+are not common. Each run of common words, and the start of a text, anchors a chain of the next ``CHAIN`` content words; where common words lie between those, that is part of the
 chain. A fingerprint is the set of its chains' 32-bit hashes, written as eight hex digits each in ascending order.
 Likeness is the Jaccard coefficient of two such sets; two empty ones are alike.
 
@@ -28,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ripple.llm.common import Scratch, text_or_empty
 
-#: Frequent function words of four languages.
+#: Frequent function words of four languages, for callers that count none.
 ANCHORS = (
     "the of and to in a is that for it on with as was by be at from this are or an "
     "de la le et les des en un une du que est pour dans qui par sur pas au avec "
@@ -36,6 +40,8 @@ ANCHORS = (
     "el y los del se las por para con no su al lo como").split()
 CHAIN = 3
 NEAR = 0.8
+COMMON, COMMON_MOST, WORD_CHARS = 32, 2_048, 32
+SPACELESS = "".join(rf"\p{{Is{x}}}" for x in ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar", "Tibetan"))
 
 
 def _any_of(words: Iterable[str]) -> str:
@@ -48,9 +54,38 @@ def _any_of(words: Iterable[str]) -> str:
     return "(?:" + "|".join(branches) + ")" + ("?" if "" in words else "")
 
 
+def plain_words(text: Column, spaceless: bool) -> Column:
+    """Words with a blank before and after each; with ``spaceless``, letters of such scripts are words of their own."""
+    lower = F.lower(text)
+    if spaceless:
+        lower = F.regexp_replace(lower, f"([{SPACELESS}])", " $1 ")
+    return F.regexp_replace(F.concat(F.lit(" "), lower, F.lit(" ")), r"[^\p{L}\p{N}]+", " ")
+
+
+def script(word: Column) -> Column:
+    """A number for the script of a word's first letter: its block of 256 code points; Latin, Han, Hangul and numbers whole."""
+    first = F.ascii(word)
+    return F.when(word.rlike(r"^\p{N}"), -1).when((first < 0x250) | first.between(0x1E00, 0x1EFF), 0) \
+        .when(first.between(0x3400, 0x9FFF) | (first >= 0x20000), -2).when(first.between(0xAC00, 0xD7A3), -3) \
+        .otherwise(F.shiftright(first, 8))
+
+
+def frequent_words(docs: DataFrame, common: int = COMMON, most: int = COMMON_MOST) -> tuple[str, ...]:
+    """The common words of ``docs``, by the number of documents that have them."""
+    words = F.array_distinct(F.split(F.trim(plain_words(F.col("text"), True)), " "))
+    counted = docs.select("lang", F.explode(words).alias("word")) \
+        .filter(F.length("word").between(1, WORD_CHARS)).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    group = Window.partitionBy("lang", "script")
+    first = counted.withColumn("script", script(F.col("word"))) \
+        .withColumn("place", F.row_number().over(group.orderBy(F.col("n").desc(), "word"))).filter(F.col("place") <= 4 * common)
+    best = first.withColumn("words", F.count(F.lit(1)).over(group)).filter(F.col("place") * 4 <= F.col("words")) \
+        .groupBy("word").agg(F.max("n").alias("n")).orderBy(F.col("n").desc(), "word").limit(most)
+    return tuple(r.word for r in best.collect())
+
+
 def content(text: Column, anchors=ANCHORS) -> Column:
     """Content words in order; one that follows an anchor is marked by ``~``."""
-    plain = F.regexp_replace(F.concat(F.lit(" "), F.lower(text), F.lit(" ")), r"[^\p{L}\p{N}]+", " ")
+    plain = plain_words(text, any(ord(x[0]) >= 0xE00 for x in anchors))
     # one mark for each anchor, then one for each run of marks; a repeated group would need a stack frame per word
     marked = F.regexp_replace(plain, " " + _any_of(anchors) + "(?= )", " ~")
     marked = F.trim(F.regexp_replace(marked, " ~[ ~]*", " ~"))
@@ -77,9 +112,9 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(either == 0, 1.0).otherwise(both / either)
 
 
-def signatures(docs: DataFrame, name: str = "chains", text: str = "text") -> DataFrame:
+def signatures(docs: DataFrame, name: str = "chains", text: str = "text", anchors=ANCHORS) -> DataFrame:
     """``docs`` with its set of chains."""
-    words = docs.withColumn("_words", content(F.coalesce(F.col(text), F.lit(""))))
+    words = docs.withColumn("_words", content(F.coalesce(F.col(text), F.lit("")), anchors))
     return words.withColumn(name, chains(F.col("_words"))).drop("_words")
 
 
@@ -100,7 +135,7 @@ def neighbours(docs: DataFrame, scratch: Scratch) -> DataFrame:
     return found.select("k", "h", "n", F.col("_next.k").alias("next_k"), F.col("_next.h").alias("next_h"))
 
 
-def fingerprints(docs: DataFrame, scratch: Scratch) -> DataFrame:
+def fingerprints(docs: DataFrame, scratch: Scratch, anchors=ANCHORS) -> DataFrame:
     """Fingerprints of each document and of its edited text, and their likeness to each other and to the next document's.
 
     The edited text has its last third of code points replaced by as many first ones (or all) of the next document.
@@ -110,14 +145,14 @@ def fingerprints(docs: DataFrame, scratch: Scratch) -> DataFrame:
     order = scratch.save(neighbours(keyed, scratch), "next")
     wanted = order.select(F.col("next_k").alias("k"), F.col("next_h").alias("h"), F.col("k").alias("to_k"),
                           F.col("h").alias("to_h"), F.floor(F.col("n") / 3).cast("int").alias("third"))
-    lent = signatures(keyed.join(wanted, ["k", "h"]), "next_chains").select(
+    lent = signatures(keyed.join(wanted, ["k", "h"]), "next_chains", anchors=anchors).select(
         F.col("to_k").alias("k"), F.col("to_h").alias("h"), F.substring("text", F.lit(1), F.col("third")).alias("lent"), "next_chains") \
         .groupBy("k", "h").agg(F.first("lent").alias("lent"), F.first("next_chains").alias("next_chains"))
     n = F.length("text")
     rows = keyed.join(lent, ["k", "h"]).withColumn("n_chars", n.cast("long")) \
         .withColumn("edited", F.concat(F.substring("text", F.lit(1), n - F.floor(n / 3).cast("int")), F.col("lent"))) \
         .drop("lent")
-    rows = signatures(signatures(rows), "edited_chains", "edited")
+    rows = signatures(signatures(rows, anchors=anchors), "edited_chains", "edited", anchors)
     return rows.select(
         F.nullif("k", F.lit(-(1 << 63))).alias("doc_id"), "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         digits(F.col("chains")).alias("fingerprint"), digits(F.col("edited_chains")).alias("edited_fingerprint"),

@@ -213,6 +213,24 @@ def test_fingerprints(docs, empty, scratch, spark):
     assert spotsigs.fingerprints(empty, Scratch(spark, "test")).count() == 0
 
 
+def test_fingerprints_of_other_languages(spark, scratch, tmp_path):
+    """Documents without a word of ``ANCHORS`` that begin alike: chains along the text, and likeness follows its content."""
+    from ripple.llm import queries
+    g = random.Random(6)
+    kinds = {"pl": (" ", "i w nie na się z"), "ru": (" ", "и в не на что с"), "zh": ("", "的 是 不 了 在 有"), None: ("; ", "def return if self")}
+    letters = {"pl": "bcdłmńpr", "ru": "бвгджзкл", "zh": "".join(map(chr, range(0x5000, 0x50C8))), None: "bcfgjkmp"}
+    rows = []
+    for x, (blank, common) in kinds.items():
+        words = ["".join(g.choice(letters[x]) for _ in range(1 if x == "zh" else 4)) for _ in range(400)]
+        for _ in range(10):
+            body = [w for _ in range(40) for w in (g.choice(common.split()), *g.choices(words, k=3))]
+            rows.append((len(rows), blank.join([*words[:3], *body]), x))
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    for r in queries.op4_document_fingerprints(spark, str(tmp_path)).collect():
+        assert len(r.fingerprint) >= 8 * 25, rows[r.doc_id]
+        assert 0.2 < r.near_edited < 0.9 and r.near_next < 0.6, rows[r.doc_id]
+
+
 def test_near_pairs_of_fingerprints(spark, scratch):
     rows = [(i, t) for i, t, *_ in sample(2)] + [(200 + i, " ".join(f"the w{j} stone{j} river{j}" for j in range(40) if j != 5 * i)) for i in range(6)]
     members, pairs = spotsigs.near_pairs(spark.createDataFrame(rows, "doc_id long, text string"), scratch, 0.7)
