@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ripple.llm import (bagminhash, exact_dedup, html_extraction, language_id, mixing, packing, spotsigs, substring_dedup,
-                        suffix_dedup, token_counts)
+from ripple.llm import (bagminhash, exact_dedup, html_extraction, importance, language_id, mixing, packing, spelling, spotsigs,
+                        substring_dedup, suffix_dedup, token_counts, word_bpe)
 from ripple.llm.common import Scratch, table
+from ripple.llm.lexical_sql import IMPORTANCE_SQL, SPELLING_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,10 +57,23 @@ def op10_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return html_extraction.extract(pages, html_extraction.train(pages))
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"), Scratch(spark, "spelling"))
+
+
+def op12_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    return word_bpe.round_trip(table(spark, folder, "documents"))
+
+
+def op13_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return importance.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"), Scratch(spark, "importance"))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_token_counts, op2_exact_dedup, op3_language_id, op4_document_fingerprints, op5_packing,
-        op6_minhash_near_dedup, op7_mixing, op8_suffix_array_dedup, op9_substring_dedup, op10_html_extraction)}
+        op6_minhash_near_dedup, op7_mixing, op8_suffix_array_dedup, op9_substring_dedup, op10_html_extraction,
+        op11_spelling_variants, op12_bpe_round_trip, op13_importance_resampling)}
 
 
 # Equal texts by their normalised bytes; the row with most code points, then the smallest id, stays.
@@ -115,4 +129,5 @@ FROM cut
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": EXACT_DEDUP_SQL, "op7_mixing": MIXING_SQL}
+    return {"op2_exact_dedup": EXACT_DEDUP_SQL, "op7_mixing": MIXING_SQL, "op11_spelling_variants": SPELLING_SQL,
+            "op13_importance_resampling": IMPORTANCE_SQL}
