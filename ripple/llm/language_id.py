@@ -5,7 +5,8 @@ One model per language over lower-cased letters (every run of other characters i
 ``SAMPLE`` documents with the smallest hash of their id, of any length. Of a document longer than
 ``SAMPLE_CHARS`` characters, so many are taken from a place that its id decides; a language's budget
 is ``SAMPLE`` times ``SAMPLE_CHARS`` characters. The sample is drawn by a threshold per language, so no
-text is shuffled for it. Each language is counted in a task of its own; the tables (bounded by the
+text is shuffled for it; the threshold is found among the few hashes below a first one that the language's
+number of rows gives. A language whose sample has no letter is not learned. Each language is counted in a task of its own; the tables (bounded by the
 sample) are merged on the driver into sorted hash arrays with one row of log probabilities for all
 languages, and broadcast.
 
@@ -31,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from ripple.llm.common import Scratch
 
@@ -123,6 +125,8 @@ class Model:
         if n == 0:
             return np.full((len(at), len(self.languages)), self.floor, np.float32)
         keys, rows = self.tables[n - 1]
+        if not len(keys):       # the texts were too short for such n-grams
+            return self.log_p(by_n, at, n - 1) + self.backoff(by_n, at, n)
         h = by_n[n - 1][at]
         i = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
         out = rows[i]
@@ -133,6 +137,8 @@ class Model:
 
     def backoff(self, by_n: list[np.ndarray], at: np.ndarray, n: int) -> np.ndarray:
         keys, rows = self.contexts[n - 1]
+        if not len(keys):
+            return np.zeros((len(at), len(self.languages)), np.float32)
         h = by_n[n - 2][at - 1] if n > 1 else np.zeros(len(at), np.uint64)
         i = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
         return np.where((keys[i] == h)[:, None], rows[i], np.float32(0))
@@ -170,8 +176,14 @@ class Model:
 
 
 def merge(fits: dict[str, list], order: int = ORDER) -> Model:
-    """The languages' tables as one: every language's log p for every n-gram that any of them knows."""
+    """The languages' tables as one: every language's log p for every n-gram that any of them knows.
+
+    Languages without any character are left out.
+    """
+    fits = {x: tables for x, tables in fits.items() if len(tables[0][1])}
     languages = sorted(fits)
+    if not languages:
+        return Model([], [], [], 0.0)
     known = np.unique(np.concatenate([fits[x][0][1] for x in languages]))
     model = Model(languages, [], [], -float(np.log(len(known) + 1)))
     with np.errstate(divide="ignore"):
@@ -193,7 +205,7 @@ def merge(fits: dict[str, list], order: int = ORDER) -> Model:
             if n == 1:
                 lower = np.full(rows.shape, model.floor)
             else:
-                shorter_keys, shorter_rows = model.tables[n - 2]
+                shorter_keys, shorter_rows = model.tables[n - 2]      # not empty if there are longer ones
                 i = np.minimum(np.searchsorted(shorter_keys, shorter), len(shorter_keys) - 1)
                 lower = np.where((shorter_keys[i] == shorter)[:, None], shorter_rows[i], model.floor)
             p = np.exp(w + lower)
@@ -246,38 +258,57 @@ def remainder(doc_id: str = "doc_id") -> Column:
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4
 
 
+#: What the task of one language sends: of each n-gram length, the fields of ``fit_one``.
+_TABLES = pa.schema([("lang", pa.string()), ("n", pa.int64()), ("gram", pa.list_(pa.int64())), ("part", pa.list_(pa.float64())),
+                     ("context", pa.list_(pa.int64())), ("backoff", pa.list_(pa.float64())), ("shorter", pa.list_(pa.int64()))])
+
+
+def thresholds(rows: DataFrame, key: Column, sample: int) -> dict[str, str]:
+    """The ``sample``-th smallest key of each language, or its largest if it has fewer rows.
+
+    Keys are digests in hexadecimal. Only those below a first threshold are sorted, some times the sample of each language;
+    it rises for languages that turn out to have too few.
+    """
+    counts = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    found: dict[str, str] = {}
+    margin = 2
+    while len(found) < len(counts):
+        first = {x: min(margin * sample / n, 1.0) for x, n in counts.items() if x not in found}
+        below = F.create_map(*[F.lit(v) for x, p in first.items() for v in (x, "g" if p == 1 else f"{int(p * 16 ** 8):08x}")])
+        place = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
+        few = rows.filter(key < below[F.col("lang")]).select("lang", key.alias("key")) \
+            .withColumn("_n", place).filter(F.col("_n") <= sample).groupBy("lang").agg(F.max("key").alias("key"), F.max("_n").alias("n"))
+        found |= {r.lang: r.key for r in few.collect() if r.n == sample or first[r.lang] == 1}
+        margin *= 16
+    return found
+
+
 def train(docs: DataFrame, scratch: Scratch, sample: int = SAMPLE, order: int = ORDER) -> Model:
     """Fitted on rows with a text, a language and an id whose crc32 mod 4 is not 2."""
     key = F.md5(F.col("doc_id").cast("string"))
     rows = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder() != 2))
-    first = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
-    # one row per language
-    limits = rows.select("lang", key.alias("key")).withColumn("_n", first).filter(F.col("_n") <= sample) \
-        .groupBy("lang").agg(F.max("key")).collect()
+    limits = thresholds(rows, key, sample)
     if not limits:
         return Model([], [], [], 0.0)
-    limit = F.create_map(*[F.lit(x) for row in limits for x in row])
+    limit = F.create_map(*[F.lit(x) for row in limits.items() for x in row])
     places = F.greatest(F.length("text") - SAMPLE_CHARS + 1, F.lit(1))
     piece = F.substring("text", (F.pmod(F.xxhash64("doc_id", F.lit("piece")), places) + 1).cast("int"), F.lit(SAMPLE_CHARS))
     drawn = scratch.save(rows.filter(key <= limit[F.col("lang")]).select(
         "lang", piece.alias("text"), (F.xxhash64("doc_id") % 4 == 0).alias("calibrates")), "sample")
-    fields = ("n", "gram", "part", "context", "backoff", "shorter")
 
     def fit(group: pa.Table) -> pa.Table:
         lang, texts = group.column("lang")[0].as_py(), group.column("text").to_pylist()
-        use = [t for t, c in zip(texts, group.column("calibrates").to_pylist()) if not c] or texts
-        rows = [(n, g.view(np.int64), part, context.view(np.int64), backoff, shorter.view(np.int64))
-                for n, g, part, context, backoff, shorter in fit_one(use, order)]
-        return pa.table({"lang": [lang] * len(rows)} | {
-            f: pa.array([r[i] if i == 0 else r[i].tolist() for r in rows]) for i, f in enumerate(fields)})
-
-    parts = drawn.groupBy("lang").applyInArrow(
-        fit, "lang string, n long, gram array<long>, part array<double>, context array<long>, "
-             "backoff array<double>, shorter array<long>").collect()
+        use = [t for t, c in zip(texts, group.column("calibrates").to_pylist()) if not c]
+        if not any(len(codes(t)) > 1 for t in use):
+            use = texts
+        rows = [[lang, n, *(a.view(np.int64) if a.dtype == np.uint64 else a for a in arrays)] for n, *arrays in fit_one(use, order)]
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _TABLES.types)], schema=_TABLES)
+
+    parts = drawn.groupBy("lang").applyInArrow(fit, from_arrow_schema(_TABLES)).collect()
     fits: dict[str, list] = {}
     for r in sorted(parts, key=lambda r: (r.lang, r.n)):
         unsigned = [np.array(r[f], np.int64).view(np.uint64) for f in ("gram", "context", "shorter")]
-        fits.setdefault(r.lang, []).append((r.n, unsigned[0], np.array(r.part), unsigned[1], np.array(r.backoff), unsigned[2]))
+        fits.setdefault(r.lang, []).append((r.n, unsigned[0], np.array(r.part, float), unsigned[1], np.array(r.backoff, float), unsigned[2]))
     model = merge(fits, order)
     held = sorted(drawn.filter("calibrates").collect(), key=lambda r: (r.lang, r.text))
     if held:
