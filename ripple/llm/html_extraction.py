@@ -57,7 +57,7 @@ AWAY_TAGS = {"nav", "menu", "header", "footer", "aside", "form", "dialog"}
 #: Words of class, id and role.
 AWAY = set("ad ads adv advert advertisement advertising adsense alert announcement banner bottom breadcrumb breadcrumbs comment "
            "comments commentlist consent contact cookie cookies copyright disqus dialog discussion follow foot footer form gdpr "
-           "head header hidden legal links login masthead menu menubar meta modal more nav navbar navigation newsletter "
+           "head header legal links login masthead menu menubar meta modal more nav navbar navigation newsletter "
            "notice notification overlay pager pagination paywall popup promo promoted promotion recommended related rail "
            "reply replies responses search secondary share sharing shoutbox side sidebar signup site social sponsor sponsored "
            "subscribe subscription tags teaser toc tool toolbar top topbar trending warning widget widgets author byline "
@@ -70,8 +70,10 @@ _TOKEN = re.compile(
     _COMMENT + rf"<({RAW})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)|" + _TAGS, re.S | re.I)
 # the same groups where there is no raw text
 _FOREIGN_TOKEN = re.compile(_COMMENT + r"((?!))|" + _TAGS, re.S | re.I)
-_ATTRIBUTE = re.compile(r"\b(class|id|role|aria-label|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=>\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+NAMING = {"class", "id", "role", "aria-label", "itemprop"}
+_UNSHOWN = re.compile(r"(?:^|[;\s])(?:display\s*:\s*none|visibility\s*:\s*hidden)", re.I)
+_HREF = re.compile(r"(?:^|[\s\"'])href\s*=", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 _SPACE = re.compile(r"\s+")
 
@@ -96,12 +98,27 @@ class Page:
     runs: list[tuple[int, str]]         # (node, text) in page order
 
 
+def attribute_words(attributes: str) -> tuple[set[str], bool]:
+    """Words of the naming attributes, and whether the element is hidden: by an attribute of that name, or by its style."""
+    words: set[str] = set()
+    hidden = False
+    for a in _ATTRIBUTE.finditer(attributes):
+        name, value = a[1].lower(), a[2] or a[3] or a[4] or ""
+        if name in NAMING:
+            words.update(w.lower() for w in _WORD.findall(value))
+            # the class that style sheets hide, not one that has the word in it
+            hidden |= name == "class" and "hidden" in value.lower().split()
+        elif name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and _UNSHOWN.search(value):
+            hidden = True
+    return words, hidden
+
+
 def parse(source: str | None) -> Page:
     nodes = [Node(-1, "body")]
     runs: list[tuple[int, str]] = []
     stack = [0]
     pieces: list[str] = []
-    in_link, at = 0, 0
+    in_link, at = 0, 0                  # in_link: the depth at which the open link began
     unseen: list[str] = []              # the open unseen element and the elements open in it
     inline: Counter[str] = Counter()    # open inline elements outside of it
 
@@ -130,6 +147,10 @@ def parse(source: str | None) -> Page:
             if nodes[stack[i]].tag in barrier:
                 return
 
+    def left() -> int:
+        """A link ends with the element around it, too."""
+        return in_link if len(stack) >= in_link else 0
+
     def ends_parent(name: str, ending: bool) -> bool:
         """Whether a tag that closes nothing in the unseen element ends the element around it."""
         if ending:
@@ -168,17 +189,16 @@ def parse(source: str | None) -> Page:
                 inline[name] = max(inline[name] + (-1 if ending else 1), 0)
             nodes[stack[-1]].tags += 1
             if name == "a":
-                in_link = 0 if ending else 1
+                in_link = len(stack) if not ending and _HREF.search(attributes) else 0
         elif ending:
             flush()
             close(name)
-            in_link = 0
+            in_link = left()
         elif name in VOID:
             if name == "hr":
                 flush()
         else:
             flush()
-            in_link = 0
             if name == "li":
                 close("li", frozenset(("ul", "ol")))
             elif name in ("dt", "dd"):
@@ -189,10 +209,11 @@ def parse(source: str | None) -> Page:
                     close(x, frozenset(("table",)))
             elif nodes[stack[-1]].tag == "p":
                 stack.pop()
+            in_link = left()
             node = Node(stack[-1], name)
             if attributes:
-                found = {w.lower() for a in _ATTRIBUTE.finditer(attributes) for w in _WORD.findall(a[2] or a[3] or a[4] or "")}
-                node.away = len(found & AWAY) + 2 * bool(_HIDDEN.search(attributes))
+                found, hidden = attribute_words(attributes)
+                node.away = len(found & AWAY) + 2 * hidden
                 node.here = len(found & HERE)
             nodes[stack[-1]].children.append(len(nodes))
             stack.append(len(nodes))
