@@ -134,6 +134,30 @@ def test_language_of_odd_rows(docs, empty, scratch):
     assert language_id.accepted(docs, model).columns == docs.columns
 
 
+@pytest.mark.parametrize("odd", ["", "12", "a", "a b", " 1 x"])
+def test_languages_of_next_to_nothing(spark, odd):
+    """A labelled row with no letter or hardly any, beside a table and as the only row."""
+    table = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    taught = next(i for i in range(10**6, 10**6 + 99) if zlib.crc32(str(i).encode()) % 4 != 2)
+    row = spark.createDataFrame([(taught, odd, "zz", None, len(odd))], table.schema)
+    for rows in (table.unionByName(row), row):
+        model = language_id.train(rows, Scratch(spark, "test"))
+        assert ("zz" in model.languages) == any(c.isalpha() for c in odd)
+        found = language_id.identify(rows, model).collect()
+        assert len(found) == rows.count()
+        assert {r.lang_pred for r in found} <= {"und", *model.languages}
+        assert language_id.accepted(rows, model).columns == rows.columns
+
+
+def test_thresholds_are_those_of_a_full_sort(spark):
+    rows = spark.range(5_000).select("id", F.when(F.col("id") < 4_900, "big").otherwise(F.when(F.col("id") < 4_997, "some").otherwise("few")).alias("lang"))
+    keys = {}
+    for i in range(5_000):
+        keys.setdefault("big" if i < 4_900 else "some" if i < 4_997 else "few", []).append(hashlib.md5(str(i).encode()).hexdigest())
+    for sample in (1, 10, 400):
+        assert language_id.thresholds(rows, F.md5(F.col("id").cast("string")), sample) == {x: sorted(k)[:sample][-1] for x, k in keys.items()}
+
+
 def test_languages_of_long_documents_only(spark, scratch):
     """Every labelled row is longer than a piece of the sample."""
     g = random.Random(4)
@@ -476,6 +500,34 @@ def test_main_text_of_a_page(trees, spark):
     assert got[1].text == got[2].text == "" and len(got) == 6 and all(r.n_chars == len(r.text) for r in got)
 
 
+def test_what_only_sounds_hidden_changes_nothing(trees, spark):
+    """Styles and classes with the word in them; a hidden attribute is found."""
+    sources = [r.html for r in spark.read.parquet(f"{FOLDER}/pages.parquet").limit(60).collect()]
+
+    def texts(change):
+        rows = [(i, "", change(s)) for i, s in enumerate(sources)]
+        return {r.page_id: r.text for r in html_extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), trees).collect()}
+    def around(attribute):
+        return lambda s: re.sub(r"(<body[^>]*>)(.*)(</body>)", rf"\1<div{attribute}>\2</div>\3", s, flags=re.S | re.I)
+    plain = texts(around(""))
+    assert sum(map(len, plain.values())) > 1_000
+    for attribute in (' style="overflow:hidden"', ' class="not-hidden"', ' class="overflow-hidden"', ' data-hidden="1"', " title='x hidden y'"):
+        assert texts(around(attribute)) == plain
+    words = html_extraction.attribute_words
+    for attribute in (" hidden", ' hidden=""', ' style="color:red; display : none"', ' style="visibility:hidden"', " aria-hidden=true", ' class="a hidden"'):
+        assert words(attribute)[1]
+    assert not words(' aria-hidden="false"')[1]
+
+
+def test_links_go_on_across_blocks():
+    def links(source):
+        return [(n.tag, n.own, n.links) for n in html_extraction.parse(source).nodes]
+    assert links('<a href="/x"><div>text</div></a><div>more</div>') == [("body", 0, 0), ("div", 4, 4), ("div", 4, 0)]
+    assert links('<p><a href=z>one<p>two</p>') == [("body", 0, 0), ("p", 3, 3), ("p", 3, 0)]
+    assert links('<div><a href=z><p>one</div><p>two') == [("body", 0, 0), ("div", 0, 0), ("p", 3, 3), ("p", 3, 0)]
+    assert links('<a name="here"><p>text</p></a>') == [("body", 0, 0), ("p", 4, 0)]
+
+
 def test_articles_of_the_given_pages(trees, spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     for r in html_extraction.extract(pages, trees).join(pages.select("page_id", "html"), "page_id").collect():
