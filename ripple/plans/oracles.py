@@ -35,9 +35,8 @@ VIEWS = {
         GROUP BY o_custkey, p_brand
         QUALIFY RANK() OVER (PARTITION BY o_custkey ORDER BY COUNT(*) DESC) = 1""",
     "newslikes": """
-        SELECT 'u' || o_custkey AS userid, 'part/' || l_partkey AS url
-        FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_custkey, l_partkey
-        QUALIFY RANK() OVER (PARTITION BY o_custkey ORDER BY MAX(l_quantity) DESC) = 1""",
+        SELECT DISTINCT 'u' || o_custkey AS userid, 'part/' || l_partkey AS url
+        FROM orders JOIN lineitem ON o_orderkey = l_orderkey""",
     "news": """
         SELECT 'part/' || p_partkey AS url, p_brand AS category, p_name AS headline,
                CAST(CAST(DATE '2017-12-01' + CAST(p_size AS INT) AS DATE) AS VARCHAR) AS date FROM part""",
@@ -207,17 +206,20 @@ def _propagation(rounds: int = 15, threshold: float = 0.15, news: str = "news_da
     ]
     stops = []
     for i in range(rounds):
+        # nothing is left to send once a round before has stopped
+        on = f"(SELECT NOT over FROM stop{i - 1})" if i > 1 else "true"
         ctes.append(f"""s{i + 1} AS MATERIALIZED (
             SELECT node, label, w / SUM(w) OVER (PARTITION BY node) AS w FROM (
-              SELECT e.dst AS node, s.label, SUM(s.w * e.w) AS w FROM s{i} s JOIN e ON s.node = e.src
+              SELECT e.dst AS node, s.label, SUM(s.w * e.w) AS w FROM (SELECT * FROM s{i} WHERE {on}) s JOIN e ON s.node = e.src
               GROUP BY e.dst, s.label) QUALIFY node <> label
-            UNION ALL SELECT id, id, 1e0 FROM seed)""")
+            UNION ALL SELECT id, id, 1e0 FROM seed WHERE {on})""")
         if i > 0:
             # a pair held in both states has two rows here; grouping costs less than joining the states
-            stops.append(f"""SELECT {i} AS result WHERE COALESCE((
+            ctes.append(f"""stop{i} AS MATERIALIZED (SELECT {'NOT ' + on if i > 1 else 'false'} OR COALESCE((
                 SELECT MAX(moved) FROM (SELECT MAX(w) - MIN(w) AS moved
                   FROM (SELECT * FROM s{i} UNION ALL SELECT * FROM s{i + 1})
-                  GROUP BY node, label HAVING COUNT(*) = 2)), 0) <= {threshold}""")
+                  GROUP BY node, label HAVING COUNT(*) = 2)), 0) <= {threshold} AS over)""")
+            stops.append(f"SELECT {i} AS result FROM stop{i} WHERE over")
     stops.append(f"SELECT {rounds}")
     ctes.append(f"stop_at AS MATERIALIZED (SELECT MIN(result) AS result FROM ({' UNION ALL '.join(stops)}))")
     states = " UNION ALL ".join(
@@ -323,7 +325,7 @@ def oracle_sql() -> dict[str, str]:
                                              extra=_propagation(threshold=EARLY_STOP)),
         "label_delta": _sql(f"""SELECT COUNT(*) FILTER (ABS(a.w - b.w) > 0.15) AS n_moved,
             {_q('MAX(ABS(a.w - b.w))')} AS max_delta FROM s2 a JOIN s3 b ON a.node = b.node AND a.label = b.label""",
-                            *_GRAPH_VIEWS, extra=_propagation(rounds=3)),
+                            *_GRAPH_VIEWS, extra=_propagation(rounds=3, threshold=-1.0)),
         "recommendations": _sql(_RECS_Q, *_GRAPH_VIEWS, extra=propagated + [_RECS]),
         "recommendations_all_nodes": _sql(
             f"SELECT label AS username, node AS url, {_q('w')} AS weight FROM label_state",

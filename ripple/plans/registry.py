@@ -151,7 +151,8 @@ def label_propagation_early_stop(f):
 
 @query
 def label_delta(f):
-    before, after = propagation.last_two(seeds(f), graph(f), rounds=3)
+    # below 0 no round stops the loop
+    before, after = propagation.last_two(seeds(f), graph(f), rounds=3, threshold=-1.0)
     return propagation.label_delta(before, after).withColumn("max_delta", scalars.quantise(F.col("max_delta")))
 
 

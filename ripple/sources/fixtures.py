@@ -88,12 +88,10 @@ class Fixtures:
     # -- news ---------------------------------------------------------------
 
     def newslikes(self) -> DataFrame:
-        """The parts of each customer's largest order lines."""
-        lines = self.raw("lineitem").join(self.raw("orders"), F.col("l_orderkey") == F.col("o_orderkey")) \
-            .groupBy("o_custkey", "l_partkey").agg(F.max("l_quantity").alias("quantity"))
-        largest = lines.groupBy("o_custkey").agg(F.max("quantity").alias("quantity"))
-        return lines.join(largest, ["o_custkey", "quantity"]).select(
-            user("o_custkey").alias("userid"), F.concat(F.lit("part/"), F.col("l_partkey").cast("string")).alias("url"))
+        """Every part a customer has ordered."""
+        return self.raw("lineitem").join(self.raw("orders"), F.col("l_orderkey") == F.col("o_orderkey")) \
+            .select("o_custkey", "l_partkey").distinct().select(
+                user("o_custkey").alias("userid"), F.concat(F.lit("part/"), F.col("l_partkey").cast("string")).alias("url"))
 
     def news(self) -> DataFrame:
         """News items; the part size stands in for the publication day."""

@@ -6,7 +6,7 @@ from collections import defaultdict
 import pytest
 
 from ripple.operators import edges, feeds, propagation, rank
-from ripple.operators.hot import Chunking
+from ripple.session import Scratch
 
 
 def model(seeds, links, rounds=15, threshold=0.15):
@@ -79,32 +79,50 @@ def test_article_with_two_categories_sends_whole_weight_to_each(spark):
     assert {r.w for r in graph.filter("kind = 'article_category'").collect()} == {1.0}
 
 
+SPREAD = [{}, {"labels": 1}, {"local_nodes": 0, "part_nodes": 4, "labels": 2}, {"local_nodes": 0, "part_nodes": 100, "labels": 3}]
+
+
 @pytest.mark.parametrize("seed, threshold", [(1, 0.15), (2, 0.02)])
-def test_same_as_the_model(spark, seed, threshold):
+@pytest.mark.parametrize("sizes", SPREAD, ids=str)
+def test_same_as_the_model(spark, seed, threshold, sizes):
+    """In one part and in several, with one block of labels and with several."""
     links = random_graph(seed)
     seeds = ["n0", "n3", "n5", "alone"]
-    got = result(propagation.propagate(seeds_of(spark, seeds), frame(spark, links), rounds=6, threshold=threshold))
+    got = result(propagation.propagate(seeds_of(spark, seeds), frame(spark, links), rounds=6, threshold=threshold, **sizes))
     assert got == pytest.approx(model(seeds, links, 6, threshold))
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_hot_nodes_are_split_without_changing_results(spark, monkeypatch, broadcast):
-    links = random_graph(3)
+@pytest.mark.parametrize("sizes", SPREAD[::2], ids=str)
+def test_packed_rows_are_cut_without_changing_results(spark, monkeypatch, sizes):
+    """Few edges to a packed row, few products at a time; repeated edges add up."""
+    for module in ("PACKED_EDGES", "CELLS"):
+        monkeypatch.setattr(propagation, module, 5)
+    links = random_graph(3) + [("n0", "n1", 0.5), ("n0", "n1", 0.25)]
     seeds = ["n0", "n1", "n2"]
-    if not broadcast:
-        monkeypatch.setattr(propagation, "BROADCAST_BYTES", -1)
-    network = frame(spark, links)
-    split = Chunking.of(edges.degree_table(network), 2)
-    assert split.by_source and split.by_target
-    got = result(propagation.propagate(seeds_of(spark, seeds), network, rounds=4, chunk_rows=2))
+    got = result(propagation.propagate(seeds_of(spark, seeds), frame(spark, links), rounds=4, **sizes))
     assert got == pytest.approx(model(seeds, links, 4))
 
 
-def test_large_graph_text_keeps_no_broadcast():
-    split = Chunking(chunk=1_000_000, n_edges=10**10, by_source=True, by_target=True)
-    text = propagation._round_sql(split, 10**9, 2000)
-    assert "BROADCAST" not in text and "explode(sequence(0, fan - 1)) AS out_chunk" in text
-    assert Chunking(1, 100, False, False).by_source is False
+def test_last_two_states_and_nothing_to_do(spark):
+    links, seeds = random_graph(6), ["n0", "n1"]
+    before, after = propagation.last_two(seeds_of(spark, seeds), frame(spark, links), rounds=3, threshold=-1.0)
+    assert result(before) == pytest.approx(model(seeds, links, 2, -1.0))
+    assert result(after) == pytest.approx(model(seeds, links, 3, -1.0))
+    assert result(propagation.propagate(seeds_of(spark, []), frame(spark, links))) == {}
+    assert result(propagation.propagate(seeds_of(spark, ["a"]), frame(spark, []))) == {("a", "a"): 1.0}
+
+
+def test_state_has_a_row_per_block_and_not_per_pair(spark):
+    """A tenth and less of the rows that single pairs would be."""
+    links = [(f"n{i}", f"n{(i * k + 1) % 400}", 0.5) for i in range(400) for k in (2, 3, 7)]
+    seeds = [f"n{i}" for i in range(0, 400, 2)]
+    run = Scratch(spark, "test")
+    graph = propagation._Graph(run.save(frame(spark, links), "edges"), seeds_of(spark, seeds), run, propagation.LOCAL_NODES,
+                               propagation.PART_NODES, propagation.LABELS)
+    state = graph.first()
+    for i in range(3):
+        state = run.save(graph.next(state), f"state-{i}")
+    assert state.count() * 10 < graph.pairs(state, None).count()
 
 
 def test_weights_add_up(spark):
