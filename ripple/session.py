@@ -97,9 +97,9 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def save(self, df: DataFrame, name: str) -> DataFrame:
+    def save(self, df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
         """Write ``df`` and return it as read back from the written files."""
-        df.write.mode("overwrite").parquet(self.path(name))
+        df.write.mode("overwrite").options(**(options or {})).parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, name: str) -> None:
