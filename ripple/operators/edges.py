@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ripple.operators.hot import split_join
+from ripple.session import Scratch
 
 # Share of its weight that a node sends along all its edges of one kind.
 USER_FRIEND, USER_ARTICLE, ARTICLE_USER = 0.3, 0.4, 0.4
@@ -73,13 +73,14 @@ def weighted_edges(friends: DataFrame, likes: DataFrame, interests: DataFrame, a
     """The graph: each edge carries its kind's share divided by the edges of that kind leaving the source.
 
     An article gives its whole weight to each category it has. The counts are
-    combined on the map side and joined back, rather than taken over a window; the
-    edges of a category followed by a third of all users are dealt over chunks.
+    combined on the map side, written once and joined back, rather than taken over a window; as the
+    written table is no aggregate on the join key, adaptive execution splits the edges of a category followed by a
+    third of all users.
     """
     kinds = edge_kinds(friends, likes, interests, articles)
-    degrees = node_degrees(kinds)
+    degrees = Scratch(kinds.sparkSession, "degrees").save(node_degrees(kinds), "table")
     weight = F.when(F.col("kind") == "article_category", F.col("k")).otherwise(F.col("k") / F.col("n"))
-    return split_join(kinds, degrees, ["kind", "src"], degrees, "dst").select("src", "dst", "kind", weight.alias("w"))
+    return kinds.join(degrees, ["kind", "src"]).select("src", "dst", "kind", weight.alias("w"))
 
 
 def shared_ids(users: DataFrame, articles: DataFrame, categories: DataFrame) -> DataFrame:

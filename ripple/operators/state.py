@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ripple.functions import scalars
-from ripple.operators.hot import split_join
+from ripple.session import Scratch
 
 
 def _newest(log: DataFrame, keys: list[str], value: str) -> DataFrame:
@@ -82,13 +82,13 @@ def _present(log: DataFrame, keys: list[str], enter: str) -> DataFrame:
     """Keys that an ``enter`` added since any other operation removed them, with the time of the first such ``enter``.
 
     A second ``enter`` changes nothing, so the list order of entries is that of the first. Two aggregates that
-    are combined on the map side; between them the entries after a key's last removal are looked up,
-    with the entries of a key that has very many of them dealt over chunks.
+    are combined on the map side. The last removals are written in between: the join with them then has no aggregate on its
+    key, and adaptive execution splits a key with very many entries. Removals and entries are different rows of the log.
     """
     at = F.struct("ts", "event_id")
-    removed = log.filter(F.col("op") != enter).groupBy(*keys).agg(F.max(at).alias("removed"))
-    entries = log.filter(F.col("op") == enter)
-    known = split_join(entries, removed, keys, entries.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), "event_id", "left")
+    removed = Scratch(log.sparkSession, "removals").save(
+        log.filter(F.col("op") != enter).groupBy(*keys).agg(F.max(at).alias("removed")), "table")
+    known = log.filter(F.col("op") == enter).join(removed, keys, "left")
     return known.filter(F.col("removed").isNull() | (at > F.col("removed"))).groupBy(*keys) \
         .agg(F.min(at)["ts"].alias("since"))
 

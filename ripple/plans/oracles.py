@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+
 from ripple.functions.stopwords import DEFAULT_STOP_WORDS
 from ripple.operators.people import EMPTY_FIELD, EMPTY_FORM, FEW_INTERESTS
 from ripple.plans.porter_sql import stems
-from ripple.plans.registry import EARLY_STOP, RANK_DMAX
+from ripple.plans.registry import EARLY_STOP, RANK_DMAX, STOP_WORDS, STREAM_BATCHES
 from ripple.sources.fixtures import FRIEND_MULTIPLIERS, NEWS_DATE, NOW_MS
 
 
@@ -229,6 +231,17 @@ def _propagation(rounds: int = 15, threshold: float = 0.15, news: str = "news_da
     return ctes
 
 
+def _batched_propagation(batches: int) -> list[str]:
+    """The loop once per batch of interests, each with all interests so far; ends in ``batch_recs`` (batch, username, url, weight)."""
+    own = re.compile(r"\b(edge|node_id|e|seed|s\d+|stop\d+|stop_at|label_state|user_interest)\b(?!')")
+    ctes, runs = [], []
+    for b in range(batches):
+        ctes.append(f"user_interest_{b} AS MATERIALIZED (SELECT * FROM user_interest WHERE CAST(SUBSTRING(username, 2) AS BIGINT) % {batches} <= {b})")
+        ctes += [own.sub(rf"\1_{b}", cte) for cte in _propagation()]
+        runs.append(f"SELECT {b} AS batch, label AS username, node AS url, w AS weight FROM label_state_{b} WHERE node IN (SELECT url FROM news_day)")
+    return [*ctes, f"batch_recs AS ({' UNION ALL '.join(runs)})"]
+
+
 _GRAPH_VIEWS = ("friend_edge", "newslikes", "user_interest", "news_day")
 _RECS = """recs AS MATERIALIZED (SELECT label AS username, node AS url, w AS weight
     FROM label_state WHERE node IN (SELECT url FROM news_day))"""
@@ -431,6 +444,12 @@ def oracle_sql() -> dict[str, str]:
         # search
         "keyword_index": _sql("SELECT keyword, url FROM stem_index", "index_raw", "search_requests", extra=_STEMMED),
         "news_search": _sql(_SEARCH, "index_raw", "search_requests", "article", extra=_STEMMED),
+        "keyword_index_stop_table": _sql("SELECT DISTINCT stem AS keyword, url FROM all_words JOIN stems ON word = keyword", "article", extra=[
+            """all_words AS MATERIALIZED (SELECT DISTINCT keyword, url FROM (
+                 SELECT url, lower(unnest(regexp_extract_all(body, '\\p{L}+'))) AS keyword FROM article))""",
+            f"""vocabulary AS MATERIALIZED (SELECT DISTINCT keyword AS word FROM all_words WHERE keyword NOT IN (
+                 SELECT keyword FROM all_words GROUP BY keyword ORDER BY COUNT(*) DESC, keyword LIMIT {STOP_WORDS}))""",
+            *stems("vocabulary")]),
         "keyword_index_raw": _sql("SELECT keyword, url FROM index_raw", "index_raw"),
         "keyword_hits": _sql("SELECT query_id, url, hits FROM hits", "hits"),
         "keyword_top5": _sql("""SELECT query_id, url, hits, CAST(place AS INT) AS place FROM (
@@ -452,5 +471,9 @@ def oracle_sql() -> dict[str, str]:
             SELECT 'u' || user_id AS username, MAX({_ms('ts')}) AS lastAction FROM events GROUP BY user_id)""",
         "stream_chat": _sql("SELECT DISTINCT groupid, author, message FROM messages", "messages"),
         "stream_friend_state": _sql(_FRIEND_STATE, "friend_ops"),
-        "stream_recommend": _sql(_RECS_Q, *_GRAPH_VIEWS, extra=propagated + [_RECS]),
+        "stream_presence_expiry": f"""SELECT username, lastAction AS last_action, {_ONLINE} AS online FROM (
+            SELECT 'u' || user_id AS username, MAX({_ms('ts')}) AS lastAction FROM events GROUP BY user_id)""",
+        "stream_recommend": _sql(f"""SELECT username, url, {_q('weight')} AS weight FROM (SELECT * FROM batch_recs
+            QUALIFY ROW_NUMBER() OVER (PARTITION BY username, url ORDER BY batch DESC) = 1)""",
+                                 *_GRAPH_VIEWS, extra=_batched_propagation(STREAM_BATCHES)),
     }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ripple.functions import scalars
@@ -21,6 +21,10 @@ _QUERIES: dict[str, Callable[[Fixtures], DataFrame]] = {}
 PEOPLE_SEARCH = "nation_1 auto extra"
 EARLY_STOP = 0.6
 RANK_DMAX = 0.001
+# Words of a stop list made from the articles.
+STOP_WORDS = 500
+# Batches of the streams whose batches matter.
+STREAM_BATCHES = 4
 
 
 def query(f: Callable[[Fixtures], DataFrame]) -> Callable[[Fixtures], DataFrame]:
@@ -408,6 +412,12 @@ def keyword_index(f):
     return search.keyword_index(f.article())
 
 
+@query
+def keyword_index_stop_table(f):
+    """With a stop list that is a table of hundreds of words."""
+    return search.keyword_index(f.article(), search.frequent_words(f.article(), STOP_WORDS))
+
+
 @query
 def keyword_hits(f):
     return search.keyword_hits(search.keyword_index(f.article(), stem=False), f.search_requests(), stem=False)
@@ -415,8 +425,7 @@ def keyword_hits(f):
 
 @query
 def keyword_top5(f):
-    return search.keyword_top(
-        search.keyword_hits(search.keyword_index(f.article(), stem=False), f.search_requests(), stem=False))
+    return search.search_top(search.keyword_index(f.article(), stem=False), f.search_requests(), stem=False)
 
 
 @query
@@ -475,22 +484,44 @@ def stream_friend_state(f):
     return streams.read_friend_state(f.spark, path, ops.schema)
 
 
+def _arriving(f: Fixtures, rows: DataFrame, batch: Column, name: str, batches: int = STREAM_BATCHES) -> DataFrame:
+    """A table as a stream whose batches come in the order of ``batch``, a number from 0 on; one file each."""
+    files = Scratch(f.spark, f"stream-{name}")
+    held = files.save(rows.withColumn("_batch", batch), "all")
+    for b in range(batches):
+        held.filter(F.col("_batch") == b).drop("_batch").coalesce(1).write.mode("append").parquet(files.path("in"))
+    return streams.read_stream(f.spark, files.path("in"), "part-", rows.schema, files_per_batch=1)
+
+
+@query
+def stream_presence_expiry(f):
+    """Presence held as state: users go offline by a timer, and reading computes nothing. Two ticks of the clock end the stream."""
+    actions = f.raw("events").select(user("user_id").alias("username"), millis("ts").alias("ts"))
+    ticks = f.spark.createDataFrame([(None, NOW_MS, STREAM_BATCHES), (None, NOW_MS, STREAM_BATCHES + 1)], "username string, ts bigint, _batch int")
+    first, span = actions.agg(F.min("ts"), F.max("ts") - F.min("ts") + 1).first()
+    dealt = actions.withColumn("_batch", F.floor((F.col("ts") - first) * STREAM_BATCHES / span).cast("int")).unionByName(ticks)
+    stream = _arriving(f, dealt.withColumnRenamed("_batch", "at_batch"), F.col("at_batch"), "presence", STREAM_BATCHES + 2).drop("at_batch")
+    path = _run(lambda p: streams.stream_presence_expiry(stream, p), f, "stream-presence-expiry")
+    return streams.read_presence_expiry(f.spark, path)
+
+
 @query
 def stream_recommend(f):
-    """Interests arrive as a stream; the recommendations are computed once per batch."""
-    lineitem = StreamFixtures(f, "lineitem", "l_orderkey", 1).raw("lineitem")
-    interests = lineitem.join(f.raw("orders"), F.col("l_orderkey") == F.col("o_orderkey")) \
-        .join(f.raw("part"), F.col("l_partkey") == F.col("p_partkey")) \
-        .select(user("o_custkey").alias("username"), F.col("p_brand").alias("interest")) \
-        .join(f.user_interest(), ["username", "interest"], "left_semi")
+    """Interests arrive in batches; the recommendations are computed once per batch, from all interests so far."""
+    number = F.substring("username", 2, 20).cast("bigint")
+    interests = _arriving(f, f.user_interest(), (number % STREAM_BATCHES).cast("int"), "interests")
     articles = edges.news_for_date(f.news(), NEWS_DATE)
+    # what does not change between batches is written once
+    run = Scratch(f.spark, "standing-edges")
+    friends, likes = run.save(edges.friend_edges(f.friend_edge()), "friends"), run.save(edges.like_edges(f.newslikes()), "likes")
+    listed = run.save(edges.article_edges(articles), "articles")
+    urls = run.save(articles.select("url"), "urls")
 
     def recompute(known: DataFrame) -> DataFrame:
-        network = edges.weighted_edges(
-            edges.friend_edges(f.friend_edge()), edges.like_edges(f.newslikes()),
-            edges.interest_edges(known), edges.article_edges(articles))
-        labels = propagation.propagate(known.select(F.col("username").alias("node")), network)
-        return propagation.recommendations(labels, articles)
+        network = edges.weighted_edges(friends, likes, edges.interest_edges(known), listed)
+        labels = propagation.propagate(known.select(F.col("username").alias("node")), network,
+                                       keep=urls.withColumnRenamed("url", "node"))
+        return propagation.recommendations(labels, urls)
 
     path = _run(lambda p: streams.stream_recommend(interests, p, recompute), f, "stream-recommend")
     return streams.read_recommendations(f.spark, path) \

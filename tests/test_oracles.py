@@ -13,9 +13,6 @@ from compare import TABLES, differences  # noqa: E402
 from ripple.plans import oracles, registry  # noqa: E402
 
 FOLDER = "/root/testdata/sf0.001"
-# each of these repeats the loop that news_feed runs
-LOOPS = {"label_propagation", "label_delta", "recommendations", "recommendations_all_nodes", "top_recommendations",
-         "stream_recommend"}
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +23,7 @@ def duck():
     return connection
 
 
-@pytest.mark.parametrize("name", [n for n in entry.oracle_sql() if n not in LOOPS])
+@pytest.mark.parametrize("name", list(entry.oracle_sql()))
 def test_query(spark, duck, name):
     got = entry.queries()[name](spark, FOLDER).toArrow()
     assert differences(duck, got, entry.oracle_sql()[name]) == (0, 0)
