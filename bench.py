@@ -1,9 +1,8 @@
 """Times the headline queries; prints one JSON line.
 
 ``BENCH_SF_DIR`` names the data folder, ``BENCH_CPUS`` the local cores. Each
-query writes all its rows to Spark's "noop" sink and runs over everything. The
-state of the label propagation grows with seeds times nodes; it runs with all
-seeds over the folder of scale 0.01 beside the given one.
+query writes all its rows to Spark's "noop" sink and runs over everything; the
+label propagation of the news feed runs with all seeds over the given folder.
 """
 
 from __future__ import annotations
@@ -21,7 +20,7 @@ from ripple.session import prepare
 REGISTERED = (
     "weighted_edges", "degree_table", "social_rank", "friend_feed", "wall_feed", "friend_expand_visible",
     "friends_online", "friend_state", "profile_latest", "room_state", "posts_append", "keyword_index",
-    "news_search", "stream_friend_state",
+    "news_search", "stream_friend_state", "news_feed",
 )
 
 
@@ -33,8 +32,6 @@ def main() -> None:
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false").getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     runs = {name: registry.queries()[name] for name in REGISTERED}
-    smaller = os.path.join(os.path.dirname(folder.rstrip("/")), "sf0.01")
-    runs["news_feed_sf0.01"] = lambda spark, _: registry.queries()["news_feed"](spark, smaller)
     prepare(spark).read.parquet(f"{folder}/nation.parquet").count()     # start-up is not timed
     times = {}
     for name, run in runs.items():
