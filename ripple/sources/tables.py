@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ripple.session import delete, exists, subfolders
+from ripple.session import Scratch, exists
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -69,30 +69,54 @@ def append_rows(existing: DataFrame, new: DataFrame, keys: Sequence[str], order:
     return free.unionByName(newest(existing.join(taken, list(keys), "left_semi").unionByName(new), keys, order))
 
 
-def _version(spark: SparkSession, path: str) -> int:
-    """Newest complete version of a stored table; -1 if there is none."""
-    done = [int(name.removeprefix("version=")) for name in subfolders(spark, path)
-            if name.startswith("version=") and exists(spark, f"{path}/{name}/_SUCCESS")]
-    return max(done, default=-1)
+# -- stored tables with a key ------------------------------------------------------
+
+#: Buckets of a stored table. A lookup of one key reads one of them, and a batch of changes rewrites those it touches.
+BUCKETS = 64
+
+
+def bucket_of(key: Column, buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def _write_buckets(rows: DataFrame, path: str, order: Sequence[str], mode: str) -> None:
+    # a range sort, so that a key with very many rows is spread over several files of its bucket
+    rows.repartitionByRange("bucket", *order).sortWithinPartitions("bucket", *order).write.partitionBy("bucket").mode("overwrite") \
+        .option("partitionOverwriteMode", mode).option(f"parquet.bloom.filter.enabled#{order[0]}", "true").parquet(path)
+
+
+def write_keyed(rows: DataFrame, path: str, key: str, order: Sequence[str] = (), buckets: int = BUCKETS) -> None:
+    """Store a table in buckets of ``key``, sorted by it, with Bloom filters of it."""
+    _write_buckets(rows.withColumn("bucket", bucket_of(F.col(key), buckets)), path, [key, *order], "static")
+
+
+def lookup(spark: SparkSession, path: str, key: str, value: str | int, buckets: int = BUCKETS) -> DataFrame:
+    """Rows of one key. The bucket is known before the table is read, so the files of one bucket are listed, and of these the
+    row groups without the key are passed over.
+    """
+    return spark.read.parquet(path).filter((F.col("bucket") == bucket_of(F.lit(value), buckets)) & (F.col(key) == value)).drop("bucket")
 
 
 def read_stored(spark: SparkSession, path: str) -> DataFrame:
-    """The newest version of a table that :func:`write_recommendations` keeps."""
-    return spark.read.parquet(f"{path}/version={_version(spark, path)}")
+    """The table that :func:`write_recommendations` keeps."""
+    return spark.read.parquet(path).drop("bucket")
 
 
-def write_recommendations(recommendations: DataFrame, path: str, order: str | None = None) -> None:
+def write_recommendations(recommendations: DataFrame, path: str, order: str | None = None, buckets: int = BUCKETS) -> None:
     """Put recommendations into the stored table: equal (username, url) are replaced, all other rows stay.
 
-    A run writes a new version and deletes those before the last, so a reader of the last one is not disturbed.
-    Range partitioning on both key columns keeps a user's rows close together and splits a user with
-    very many rows over several files, which hashing on the user alone would not.
+    Only the buckets of users that the batch has are read and written; the files of the others stay as they are. The new
+    rows of a bucket are written aside first. A run that ends between two buckets is mended by running it again, as
+    putting a row twice changes nothing.
     """
     spark, keys = recommendations.sparkSession, ["username", "url"]
-    last = _version(spark, path)
-    rows = newest(recommendations, keys, order) if last < 0 else upsert(read_stored(spark, path), recommendations, keys, order)
-    rows.repartitionByRange(*keys).sortWithinPartitions(*keys) \
-        .write.mode("overwrite").parquet(f"{path}/version={last + 1}")
-    for name in subfolders(spark, path):
-        if name.startswith("version=") and int(name.removeprefix("version=")) < last:
-            delete(spark, f"{path}/{name}")
+    run = Scratch(spark, "upsert")
+    fresh = run.save(newest(recommendations, keys, order).withColumn("bucket", bucket_of(F.col("username"), buckets)), "fresh")
+    if not exists(spark, f"{path}/_SUCCESS"):
+        _write_buckets(fresh, path, keys, "static")
+    else:
+        touched = [r.bucket for r in fresh.select("bucket").distinct().collect()]       # at most ``buckets`` numbers
+        stored = spark.read.parquet(path).filter(F.col("bucket").isin(touched))
+        merged = stored.join(fresh.select(*keys), keys, "left_anti").unionByName(fresh)
+        _write_buckets(run.save(merged, "merged"), path, keys, "dynamic")
+    run.drop("")

@@ -213,7 +213,6 @@ def test_stored_recommendations_keep_other_rows(spark, tmp_path, rows):
     for run in ([("a", "x", 0.1, 1), ("b", "y", 0.2, 1)], [("a", "x", 0.5, 2), ("a", "x", 0.4, 3)], [("c", "z", 0.3, 4)]):
         tables.write_recommendations(spark.createDataFrame(run, schema), str(tmp_path / "t"), "ts")
     assert rows(tables.read_stored(spark, str(tmp_path / "t"))) == [("a", "x", 0.4, 3), ("b", "y", 0.2, 1), ("c", "z", 0.3, 4)]
-    assert len(list((tmp_path / "t").glob("version=*"))) == 2
 
 
 # -- sources ---------------------------------------------------------------------------
@@ -261,3 +260,31 @@ def test_scalars(spark):
     assert value(spark, scalars.display_date(F.lit(1640057400000))) == "Dec 21 2021 03:30"
     assert value(spark, scalars.password_hash(F.lit("abc"))).startswith("ba7816bf8f01cfea")
     assert value(spark, scalars.post_key(F.lit("amy"), F.lit(5))) == "amy$5"
+
+
+def test_untouched_buckets_keep_their_files(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    schema = "username string, url string, weight double"
+    tables.write_recommendations(spark.createDataFrame([(f"u{i}", "x", 0.1) for i in range(40)], schema), path, buckets=8)
+
+    def files():
+        return {x: x.stat().st_mtime_ns for x in (tmp_path / "t").rglob("*.parquet")}
+    before = files()
+    tables.write_recommendations(spark.createDataFrame([("u3", "x", 0.9), ("u3", "y", 0.8)], schema), path, buckets=8)
+    changed = {x.parent.name for x, at in files().items() if before.get(x) != at} | {x.parent.name for x in before.keys() - files().keys()}
+    assert len(changed) == 1 and len(before) >= 6
+    want = [(f"u{i}", "x", 0.9 if i == 3 else 0.1) for i in range(40)] + [("u3", "y", 0.8)]
+    assert rows(tables.read_stored(spark, path)) == sorted(want, key=repr)
+
+
+def test_lookup_reads_one_bucket(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    df = spark.createDataFrame([(f"u{i % 50}", i) for i in range(500)] + [(None, 1)], "name string, n int")
+    tables.write_keyed(df, path, "name", ["n"])
+    found = tables.lookup(spark, path, "name", "u7")
+    assert rows(found) == sorted([("u7", i) for i in range(7, 500, 50)], key=repr)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan and "EqualTo(name,u7)" in plan
+    scan = found._jdf.queryExecution().executedPlan().collectLeaves().head()
+    assert scan.selectedPartitions().totalNumberOfFiles() <= 2 < len(list((tmp_path / "t").rglob("*.parquet")))
+    assert tables.lookup(spark, path, "name", "nobody").count() == 0
