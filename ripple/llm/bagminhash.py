@@ -14,20 +14,25 @@ with the probability of their overlap, as all randomness hangs on window, interv
 
 **Search.** Equal texts are one node. Nodes with the same band of ``ROWS`` components are compared:
 
-1. every node with the smallest node of its bucket (a star, not all pairs), in the first ``STAR_BANDS`` bands;
-2. verified links (exact overlap of the words themselves) are joined to components;
+1. every node with the smallest node of its bucket (a star, not all pairs), in the first ``STAR_BANDS`` bands: in the first
+   ``FIRST_BANDS`` all of them, in the others those that are not in one component with it by then;
+2. verified links (exact overlap of the words themselves) are joined to components, after either part of the star;
 3. in buckets of any band that still hold several components, all nodes of different components whose estimate is above
    ``MAYBE``, each pair in the first band it shares. Buckets of at most ``SMALL`` nodes give pairs, which are
-   verified like those of the star. Larger ones are cut into blocks of about ``BLOCK`` nodes that carry their multisets; two blocks meet
-   in one task, which takes the exact overlaps of all pairs as products of matrices and gives out only links that
-   join components (fewer than the nodes), so no pairs of a large group leave a task.
+   verified like those of the star. Larger ones are cut into blocks of about ``BLOCK`` nodes and ``BLOCK_BYTES`` bytes that carry their
+   multisets; two blocks meet in one task, which takes the exact overlaps of all pairs as products of matrices and gives out only
+   links that join components (fewer than the nodes), so no pairs of a large group leave a task. The blocks of a bucket of
+   more than ``SPREAD`` nodes meet in many tasks, one for each pair of groups of blocks.
+
+The texts of nodes that share any bucket are written once, and read by every comparison.
 
 So each pair that shares a bucket is either in one component already or is compared; there is no limit on
 the size of a bucket. With 21 bands of 3 a pair at 0.8 is missed with probability 3e-7, and has an estimate below
 ``MAYBE`` (four standard deviations) with one of 5e-5.
 
 Nulls and texts without words have no windows: they are linked with equal texts only. Rows with a null or
-repeated id are classed like others. Empty table: empty result.
+repeated id are classed like others; as the id of a class and as the row that stays, a null id comes after all others. Empty
+table: empty result.
 """
 
 from __future__ import annotations
@@ -45,8 +50,9 @@ from ripple.operators.hot import split_join
 
 SHINGLE, SIMILARITY = 5, 0.8
 K, ROWS = 63, 3
-STAR_BANDS = 7
-SMALL, BLOCK, MAYBE = 32, 128, 0.6
+FIRST_BANDS, STAR_BANDS = 2, 7
+SMALL, BLOCK, BLOCK_BYTES, MAYBE = 32, 128, 8 << 20, 0.6
+SPREAD = 16_384
 
 
 def bags(data: np.ndarray, offsets: np.ndarray, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -249,6 +255,29 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([int(f[k]) for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
 
+def _large(large: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """Links between components in buckets of more than ``SMALL`` nodes."""
+    asked = texts.join(large.select("node").distinct(), "node", "left_semi")
+    elements = scratch.save(asked.mapInArrow(_elements, "node long, elements binary"), "elements")
+    rows = large.join(elements, "node")
+    sizes = rows.groupBy("key").agg(F.sum(F.octet_length("elements")).alias("bytes"))
+    number = F.greatest(F.ceil(F.col("n") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES))
+    groups = F.greatest(F.lit(1), F.ceil(F.col("n") / SPREAD)).cast("int")
+    dealt = rows.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("node"), number)).withColumn("groups", groups)
+    blocks = scratch.save(dealt.groupBy("key", "band", "block", "groups").agg(
+        F.collect_list(F.struct("node", "label", "signature", "elements")).alias("members")), "blocks")
+    # blocks of one group meet those of another in a task of their own
+    own = F.pmod(F.col("block"), F.col("groups")).cast("int")
+    met = blocks.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))) \
+        .withColumn("low", F.least("own", "other")).withColumn("high", F.greatest("own", "other"))
+    left = met.select("key", "low", "high", "band", F.col("block").alias("i"), F.col("own").alias("own_i"), F.col("other").alias("other_i"),
+                      F.col("members").alias("left"))
+    right = met.select("key", "low", "high", F.col("block").alias("j"), F.col("own").alias("own_j"), F.col("other").alias("other_j"),
+                       F.col("members").alias("right"))
+    across = left.join(right, ["key", "low", "high"]).filter("i <= j and own_i = other_j and own_j = other_i")
+    return across.select("band", "left", "right").mapInArrow(_links, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
     """One row per document: ``doc_id``, ``class_id`` (the smallest id of its class), ``class_size``, ``kept``, ``text_md5``."""
     rows = docs.select("doc_id", text_or_empty().alias("_text"), F.md5(text_or_empty().cast("binary")).alias("hash"))
@@ -260,40 +289,40 @@ def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
         .select(F.xxhash64("band", "value").alias("key"), "band", "node")
     banded = scratch.save(in_bands, "bands")
     buckets = scratch.save(banded.groupBy("key").agg(F.min("node").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets")
-    star = scratch.save(banded.filter(F.col("band") < STAR_BANDS).join(buckets, "key").filter("node <> a").select("a", F.col("node").alias("b")).distinct(), "star")
-
-    def texts_of(needed: DataFrame, name: str) -> DataFrame:
-        wanted = needed.distinct().join(nodes.select("node", "hash"), "node")
-        found = docs.select(F.md5(text_or_empty().cast("binary")).alias("hash"), text_or_empty().alias("text"))
-        return scratch.save(found.join(wanted, "hash").groupBy("node").agg(F.first("text").alias("text")), name)
-
-    def ends(pairs: DataFrame) -> DataFrame:
-        return pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
-
-    links = scratch.save(_verified(star, texts_of(ends(star), "star-texts")), "links")
+    member = banded.join(buckets, "key")
+    # equal texts are one node, so any of them will do
+    wanted = member.select("node").distinct().join(nodes.select("node", "hash"), "node")
+    found = docs.select(F.md5(text_or_empty().cast("binary")).alias("hash"), text_or_empty().alias("text"))
+    texts = scratch.save(found.join(wanted, "hash").groupBy("node").agg(F.first("text").alias("text")), "texts")
+
+    spokes = member.filter(F.col("band") < STAR_BANDS).filter("node <> a").select("a", F.col("node").alias("b"), "band")
+    first = scratch.save(spokes.filter(F.col("band") < FIRST_BANDS).select("a", "b").distinct(), "star-first")
+    first_links = scratch.save(_verified(first, texts), "links-first")
+    labels = components(first_links, scratch, "star")
+    label_of = labels.select(F.col("node").alias("a"), F.col("label").alias("label_a"))
+    label_to = labels.select(F.col("node").alias("b"), F.col("label").alias("label_b"))
+    open_spokes = spokes.filter(F.col("band") >= FIRST_BANDS).select("a", "b").distinct() \
+        .join(label_of, "a", "left").join(label_to, "b", "left") \
+        .filter(F.coalesce("label_a", "a") != F.coalesce("label_b", "b")).select("a", "b").join(first, ["a", "b"], "left_anti")
+    second = scratch.save(open_spokes, "star-second")
+    star = first.unionByName(second)
+    links = first_links.unionByName(scratch.save(_verified(second, texts), "links-second"))
     labels = components(links, scratch, "first")
-    member = banded.join(buckets.select("key", "n"), "key").join(labels, "node", "left") \
-        .withColumn("label", F.coalesce("label", "node"))
+    member = member.drop("a").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     several = member.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter("x <> y").select("key")
     open_ = scratch.save(member.join(several, "key").join(nodes.select("node", "signature"), "node"), "open")
     small = open_.filter(F.col("n") <= SMALL).groupBy("key", "band").agg(F.collect_list(F.struct("node", "label", "signature")).alias("members"))
     pairs = scratch.save(small.select("band", "members").mapInArrow(_across, "a long, b long").join(star, ["a", "b"], "left_anti"), "pairs")
-    more = _verified(pairs, texts_of(ends(pairs), "pair-texts"))
+    more = _verified(pairs, texts)
     large = open_.filter(F.col("n") > SMALL)
     if not large.isEmpty():
-        elements = scratch.save(texts_of(large.select("node"), "large-texts").mapInArrow(_elements, "node long, elements binary"), "elements")
-        blocks = scratch.save(
-            large.join(elements, "node").withColumn("block", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK)))
-            .groupBy("key", "band", "block").agg(F.collect_list(F.struct("node", "label", "signature", "elements")).alias("members")), "blocks")
-        across = blocks.select("key", "band", F.col("block").alias("i"), F.col("members").alias("left")) \
-            .join(blocks.select("key", F.col("block").alias("j"), F.col("members").alias("right")), "key").filter("i <= j")
-        more = more.unionByName(across.select("band", "left", "right").mapInArrow(_links, "a long, b long"))
+        more = more.unionByName(_large(large, texts, scratch))
     more = scratch.save(more, "more-links")
     if not more.isEmpty():
         labels = components(links.unionByName(more), scratch, "second")
     classed = scratch.save(signed.select("doc_id", "hash").join(nodes.select("hash", "node"), "hash").join(labels, "node", "left")
                            .select("doc_id", "hash", F.coalesce("label", "node").alias("label")), "classed")
-    classes = scratch.save(classed.groupBy("label").agg(F.min(F.struct("doc_id", "hash")).alias("first"),
+    classes = scratch.save(classed.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")).alias("first"),
                                                         F.count(F.lit(1)).alias("class_size")), "classes")
     # a class of very many documents is dealt over chunks
     counts = classes.select("label", F.col("class_size").alias("n"))
