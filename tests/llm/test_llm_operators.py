@@ -339,9 +339,17 @@ def classes_of(rows):
                     up[top(b)] = top(a)
     first = {}
     for i, t in rows:
-        key = (i is not None, i or 0)
+        key = (i is None, i or 0)       # a null id after all others
         first[top(t or "")] = min(first.get(top(t or ""), key), key)
-    return [(i, first[top(t or "")][1] if first[top(t or "")][0] else None) for i, t in rows]
+    return [(i, None if first[top(t or "")][0] else first[top(t or "")][1]) for i, t in rows]
+
+
+def test_null_ids_come_last_in_a_class(spark, scratch):
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = spark.createDataFrame([(None, text), (7, text + " x"), (8, text), (None, "alone")], "doc_id long, text string")
+    got = bagminhash.near_duplicates(rows, scratch)
+    assert as_rows(got, "doc_id", "class_id", "class_size", "kept") == sorted(
+        [(None, 7, 3, False), (7, 7, 3, True), (8, 7, 3, False), (None, None, 1, True)], key=repr)
 
 
 def test_near_duplicates(docs, empty, scratch, spark):
@@ -350,11 +358,13 @@ def test_near_duplicates(docs, empty, scratch, spark):
     assert bagminhash.near_duplicates(empty, Scratch(spark, "test")).count() == 0
 
 
-@pytest.mark.parametrize("small, block", [(1000, 1000), (4, 3), (2, 16)])
-def test_chains_of_near_copies_beside_one_center(spark, scratch, monkeypatch, small, block):
+@pytest.mark.parametrize("small, block, spread, size", [(1000, 1000, 1000, 1 << 20), (4, 3, 1000, 1 << 20), (2, 16, 20, 1 << 20), (2, 100, 7, 4000)])
+def test_chains_of_near_copies_beside_one_center(spark, scratch, monkeypatch, small, block, spread, size):
     """Links between texts that are both unlike the smallest node of their bucket are found."""
     monkeypatch.setattr(bagminhash, "BLOCK", block)
     monkeypatch.setattr(bagminhash, "SMALL", small)
+    monkeypatch.setattr(bagminhash, "SPREAD", spread)
+    monkeypatch.setattr(bagminhash, "BLOCK_BYTES", size)
     g = random.Random(5)
     words = [f"w{i}" for i in range(200)]
     rows = []
