@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ripple.functions import scalars
+from ripple.session import Scratch
 
 
 def people_search(users: DataFrame, text: str) -> DataFrame:
@@ -22,6 +23,47 @@ def people_search(users: DataFrame, text: str) -> DataFrame:
         .select("username", "firstname", "lastname")
 
 
+def _grams(text: Column) -> Column:
+    """All strings of at most three characters in a text, each once, the empty one too."""
+    def of(n: int) -> Column:
+        return F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.substring(text, i, F.lit(n)))
+    lists = [F.when(F.length(text) >= n, of(n)).otherwise(F.array().cast("array<string>")) for n in (1, 2, 3)]
+    return F.array_distinct(F.concat(F.array(F.lit("")), *lists))
+
+
+def people_search_each(users: DataFrame, searches: DataFrame) -> DataFrame:
+    """Users that each text of a table (column ``text``) finds, by the rules of :func:`people_search`.
+
+    Distinct names are indexed by the strings of up to three characters in them. Of a text's own strings, of three
+    characters where its words are that long, the one that the fewest names have brings it to its candidates, which are then
+    checked; so no text is compared with all names unless it is empty.
+    """
+    run = Scratch(users.sparkSession, "people-search")
+    names = run.save(users.select("firstname", "lastname").distinct(), "names")
+    index = run.save(names.select("firstname", "lastname", F.explode(F.array(
+        F.struct(F.lit("firstname").alias("of"), _grams(F.col("firstname")).alias("grams")),
+        F.struct(F.lit("lastname").alias("of"), _grams(F.col("lastname")).alias("grams")))).alias("x"))
+        .select("firstname", "lastname", "x.of", F.explode("x.grams").alias("gram")), "index")
+    counts = index.groupBy("of", "gram").agg(F.count(F.lit(1)).alias("n"))
+
+    words = searches.select("text").distinct().select(
+        "text", *[scalars.capitalise(scalars.token(F.col("text"), i)).alias(c) for i, c in ((1, "first"), (2, "last"))])
+
+    def longest(word: str) -> Column:
+        return F.filter(_grams(F.col(word)), lambda g: F.length(g) == F.least(F.length(word), F.lit(3)))
+    asked = words.select("text", "first", "last", F.explode(F.array(
+        F.struct(F.lit("firstname").alias("of"), longest("first").alias("grams")), F.struct(F.lit("lastname").alias("of"), longest("last").alias("grams")))).alias("x")) \
+        .select("text", "first", "last", "x.of", F.explode("x.grams").alias("gram"))
+    # a string that no name has ends the search for its text
+    rarest = asked.join(counts, ["of", "gram"], "left").groupBy("text", "first", "last") \
+        .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "of", "gram")).alias("by")).filter("by.n > 0") \
+        .select("text", "first", "last", "by.of", "by.gram")
+    found = run.save(rarest, "rarest").join(index, ["of", "gram"]) \
+        .filter(F.contains("firstname", "first") & F.contains("lastname", "last")).select("text", "firstname", "lastname")
+    return found.join(users.select("username", "firstname", "lastname"), ["firstname", "lastname"]) \
+        .select("text", "username", "firstname", "lastname")
+
+
 def last_action(activity: DataFrame) -> DataFrame:
     """Latest action per user from (username, ts)."""
     return activity.groupBy("username").agg(F.max("ts").alias("last_action"))

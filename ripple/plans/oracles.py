@@ -7,7 +7,7 @@ import re
 from ripple.functions.stopwords import DEFAULT_STOP_WORDS
 from ripple.operators.people import EMPTY_FIELD, EMPTY_FORM, FEW_INTERESTS
 from ripple.plans.porter_sql import stems
-from ripple.plans.registry import EARLY_STOP, RANK_DMAX, STOP_WORDS, STREAM_BATCHES
+from ripple.plans.registry import EARLY_STOP, PAGE_USER, RANK_DMAX, STOP_WORDS, STREAM_BATCHES
 from ripple.sources.fixtures import FRIEND_MULTIPLIERS, NEWS_DATE, NOW_MS
 
 
@@ -372,6 +372,22 @@ def oracle_sql() -> dict[str, str]:
             WHERE authortime IN (SELECT author || '$' || timestamp FROM posts)""", "reactions"),
         "messages_by_room": _sql("""SELECT groupid, CAST(timestamp AS BIGINT) AS timestamp, author, message,
             '(' || author || ') :' || message AS line, author = 'user' AS is_mine FROM messages""", "messages"),
+        "one_author_posts": _sql(f"SELECT author, event_id, timestamp, content, likes, isWall FROM posts WHERE author = '{PAGE_USER}'", "posts"),
+        "one_post_comments": _sql("""SELECT authortime, timestamp, author, content FROM reactions
+            WHERE authortime = (SELECT MIN(authortime) FROM reactions)""", "reactions"),
+        "one_room_messages": _sql("""SELECT groupid, CAST(timestamp AS BIGINT) AS timestamp, author, message,
+            '(' || author || ') :' || message AS line, author = 'user' AS is_mine FROM messages
+            WHERE groupid = (SELECT MIN(groupid) FROM messages)""", "messages"),
+        "one_user_recommendations": _sql(f"""SELECT username, CAST(place AS INT) AS place, url, weight, headline, category, date FROM (
+            SELECT *, ROW_NUMBER() OVER (ORDER BY weight DESC, url) AS place FROM (
+              SELECT userid AS username, url, CAST(CAST(SUBSTRING(url, 6) AS BIGINT) % 7 AS DOUBLE) / 8 AS weight FROM newslikes
+              WHERE userid = '{PAGE_USER}') QUALIFY place <= 5) LEFT JOIN news USING (url)""", "newslikes", "news"),
+        "one_user_feed": _sql(f"""SELECT f.username, p.author, p.timestamp, p.content, comment_timestamp, comment_author,
+            comment FROM (SELECT * FROM friend_edge WHERE username = '{PAGE_USER}') f JOIN posts p ON p.author = f.friend {_FEED}""",
+                              "friend_edge", "reactions"),
+        "one_user_wall": _sql(f"""SELECT p.isWall AS owner, p.author, p.timestamp, p.content, comment_timestamp,
+            comment_author, comment FROM (SELECT * FROM posts WHERE isWall = '{PAGE_USER}') p
+            JOIN friend_edge f ON f.username = p.isWall AND f.friend = p.author {_FEED}""", "friend_edge", "reactions"),
         "posts_append": _sql(f"""SELECT author, timestamp, content, likes, isWall FROM (
             SELECT *, ROW_NUMBER() OVER (PARTITION BY author, timestamp ORDER BY batch DESC, content DESC) AS n FROM (
               SELECT author, timestamp, content, likes, isWall, 0 AS batch FROM posts
@@ -384,6 +400,11 @@ def oracle_sql() -> dict[str, str]:
         # people
         "people_search": _sql("""SELECT username, firstname, lastname FROM users
             WHERE contains(firstname, 'Nation_1') AND contains(lastname, 'Auto')""", "users"),
+        "people_search_each": _sql("""SELECT text, username, firstname, lastname FROM (
+              SELECT DISTINCT 'nation_' || c_nationkey || CASE WHEN c_custkey % 4 = 0 THEN ''
+                ELSE ' ' || lower(left(c_mktsegment, CAST(c_custkey % 4 AS INT) + 1)) END AS text FROM customer)
+            JOIN users ON contains(firstname, 'N' || substr(split_part(text, ' ', 1), 2))
+              AND contains(lastname, upper(left(split_part(text, ' ', 2), 1)) || substr(split_part(text, ' ', 2), 2))""", "users"),
         "last_action": f"SELECT 'u' || user_id AS username, MAX({_ms('ts')}) AS last_action FROM events GROUP BY user_id",
         "presence": _sql(f"SELECT username, {_ONLINE} AS online FROM users", "users"),
         "friends_online": _sql(f"""SELECT f.username, f.friend, {_ONLINE} AS online
@@ -428,6 +449,12 @@ def oracle_sql() -> dict[str, str]:
         "derived_posts": _sql(_DERIVED, "profile_log"),
         "friend_state": _sql(_FRIEND_STATE, "friend_ops"),
         "room_state": _sql("SELECT username, room, since FROM rooms", "rooms"),
+        "profile_snapshots": _sql("""SELECT username, field, value FROM (
+            SELECT *, ROW_NUMBER() OVER (PARTITION BY username, field ORDER BY ts DESC, event_id DESC) AS n
+            FROM profile_log) WHERE n = 1""", "profile_log"),
+        "friend_snapshots": _sql(_FRIEND_STATE, "friend_ops"),
+        "room_snapshots": _sql("SELECT username, room, since FROM rooms", "rooms"),
+        "invite_snapshots": _sql("SELECT receiver, sender, since FROM invites", "invites"),
         "room_id": _sql("""SELECT request_id, array_to_string(list_sort([one, two, sender]), ',') AS room
             FROM group_requests""", "group_requests"),
         "invite_state": _sql("SELECT receiver, sender, since FROM invites", "invites"),

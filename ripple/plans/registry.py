@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ripple.functions import scalars
-from ripple.operators import edges, feeds, people, propagation, rank, search, state
+from ripple.operators import edges, feeds, people, propagation, rank, search, snapshots, state
 from ripple.session import Scratch, prepare
 from ripple.sources import tables
 from ripple.sources.fixtures import NEWS_DATE, NOW_MS, Fixtures, millis, user
@@ -23,6 +23,8 @@ EARLY_STOP = 0.6
 RANK_DMAX = 0.001
 # Words of a stop list made from the articles.
 STOP_WORDS = 500
+# Whose pages the lookups show.
+PAGE_USER = "u1"
 # Batches of the streams whose batches matter.
 STREAM_BATCHES = 4
 
@@ -264,6 +266,63 @@ def messages_by_room(f):
     return feeds.messages_by_room(f.messages(), viewer="user")
 
 
+# One page each: a table stored by key, of which the lookup reads one bucket.
+
+def _keyed(f: Fixtures, rows: DataFrame, key: str, order: list[str], name: str) -> str:
+    path = Scratch(f.spark, f"keyed-{name}").path("table")
+    tables.write_keyed(rows, path, key, order)
+    return path
+
+
+def _posts_of(f: Fixtures, path: str, friends: DataFrame) -> DataFrame:
+    return tables.lookup_each(f.spark, path, "author", friends.select(F.col("friend").alias("author")))
+
+
+@query
+def one_author_posts(f):
+    return tables.lookup(f.spark, _keyed(f, f.posts(), "author", ["timestamp"], "posts"), "author", PAGE_USER)
+
+
+@query
+def one_post_comments(f):
+    path = _keyed(f, f.reactions(), "authortime", ["timestamp"], "comments")
+    key = f.reactions().agg(F.min("authortime")).first()[0]
+    return tables.lookup(f.spark, path, "authortime", key or "")
+
+
+@query
+def one_room_messages(f):
+    path = _keyed(f, f.messages(), "groupid", ["timestamp"], "messages")
+    key = f.messages().agg(F.min("groupid")).first()[0]
+    return feeds.messages_by_room(tables.lookup(f.spark, path, "groupid", key or ""), viewer="user")
+
+
+@query
+def one_user_recommendations(f):
+    """Top five of one user's stored recommendations, with their headlines."""
+    likes = f.newslikes().select(F.col("userid").alias("username"), "url")
+    number = F.substring("url", 6, 20).cast("bigint")
+    path = Scratch(f.spark, "recommendations").path("table")
+    tables.write_recommendations(likes.withColumn("weight", (number % 7) / 8), path)
+    return feeds.news_feed(tables.lookup(f.spark, path, "username", PAGE_USER), f.news())
+
+
+@query
+def one_user_feed(f):
+    friends = tables.lookup(f.spark, _keyed(f, f.friend_edge(), "username", ["friend"], "friends"), "username", PAGE_USER)
+    posts = _posts_of(f, _keyed(f, f.posts(), "author", ["timestamp"], "posts"), friends)
+    return feeds.friend_feed(friends, posts, f.reactions(), PAGE_USER) \
+        .withColumn("comment_timestamp", F.col("comment_timestamp").cast("string"))
+
+
+@query
+def one_user_wall(f):
+    friends = tables.lookup(f.spark, _keyed(f, f.friend_edge(), "username", ["friend"], "friends"), "username", PAGE_USER)
+    posts = tables.lookup(f.spark, _keyed(f, f.posts(), "isWall", ["timestamp"], "walls"), "isWall", PAGE_USER)
+    return feeds.wall_feed(friends, posts, f.reactions(), PAGE_USER) \
+        .withColumn("comment_timestamp", F.col("comment_timestamp").cast("string"))
+
+
 @query
 def posts_append(f):
     """All posts as the table, the derived posts as the rows to add."""
@@ -292,6 +351,15 @@ def people_search(f):
     return people.people_search(f.users(), PEOPLE_SEARCH)
 
 
+@query
+def people_search_each(f):
+    """All texts that were typed into people search."""
+    segment = F.when(F.col("c_custkey") % 4 == 0, "").otherwise(
+        F.concat(F.lit(" "), F.lower(F.left("c_mktsegment", (F.col("c_custkey") % 4).cast("int") + 1))))
+    typed = f.raw("customer").select(F.concat(F.lit("nation_"), F.col("c_nationkey").cast("string"), segment).alias("text"))
+    return people.people_search_each(f.users(), typed)
+
+
 @query
 def last_action(f):
     return people.last_action(f.raw("events").select(user("user_id").alias("username"), millis("ts").alias("ts")))
@@ -400,6 +468,53 @@ def group_invite_new(f):
     return people.group_invite_new(f.group_invites(), f.friend_edge(), state.invite_state(f.invite_log()))
 
 
+def _in_three(f: Fixtures, log: DataFrame, name: str, first: Callable[[DataFrame], DataFrame],
+              advance: Callable[[DataFrame, DataFrame, int], DataFrame]) -> DataFrame:
+    """Three snapshots, each saved: of the first third of a log, then brought up to the end of the second and the third."""
+    run = Scratch(f.spark, name)
+    cuts = snapshots.thirds(log)
+    if not cuts:
+        return first(log)
+    snapshot = run.save(first(snapshots.up_to(log, cuts[0])), "snapshot-0")
+    for i, (before, cut) in enumerate(zip(cuts, cuts[1:]), 1):
+        snapshot = run.save(advance(snapshot, snapshots.up_to(log, cut), before), f"snapshot-{i}")
+    return snapshot
+
+
+@query
+def profile_snapshots(f):
+    keys = ["username", "field"]
+    return _in_three(f, f.profile_log(), "profiles", lambda log: snapshots.newest_rows(log, keys, "value"),
+                     lambda s, log, upto: snapshots.advance_newest(s, log.filter(F.col("event_id") > upto), keys, "value")).select(*keys, "value")
+
+
+@query
+def friend_snapshots(f):
+    keys = ["username", "friend"]
+    both = f.friend_ops().select("event_id", "ts", "op", F.explode(F.array(
+        F.struct(F.col("sender").alias("username"), F.col("receiver").alias("friend")),
+        F.struct(F.col("receiver").alias("username"), F.col("sender").alias("friend")))).alias("x")).select("event_id", "ts", "op", "x.*")
+    return state.friends_of(_in_three(
+        f, both, "friends", lambda log: snapshots.newest_rows(log, keys, "op"),
+        lambda s, log, upto: snapshots.advance_newest(s, log.filter(F.col("event_id") > upto), keys, "op")))
+
+
+@query
+def room_snapshots(f):
+    keys = ["username", "room"]
+    log = f.room_log().unionByName(state.accepted_rooms(f.invite_log(), f.friend_edge()))
+    log = Scratch(f.spark, "room-log").save(log, "log")
+    return snapshots.present(_in_three(f, log, "rooms", lambda part: snapshots.presences(part, keys, "JOIN"),
+                                       lambda s, part, upto: snapshots.advance_presences(s, part, upto, keys, "JOIN")), keys)
+
+
+@query
+def invite_snapshots(f):
+    keys = ["receiver", "sender"]
+    return snapshots.present(_in_three(f, f.invite_log(), "invites", lambda part: snapshots.presences(part, keys, "INVITE"),
+                                       lambda s, part, upto: snapshots.advance_presences(s, part, upto, keys, "INVITE")), keys)
+
+
 # -- search ----------------------------------------------------------------------------
 
 @query

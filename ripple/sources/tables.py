@@ -97,6 +97,12 @@ def lookup(spark: SparkSession, path: str, key: str, value: str | int, buckets:
     return spark.read.parquet(path).filter((F.col("bucket") == bucket_of(F.lit(value), buckets)) & (F.col(key) == value)).drop("bucket")
 
 
+def lookup_each(spark: SparkSession, path: str, key: str, keys: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """Rows of each of a few keys (a column ``key``): the buckets that they are in are found before the table is read."""
+    wanted = keys.select(key).distinct().withColumn("bucket", bucket_of(F.col(key), buckets))
+    return spark.read.parquet(path).join(wanted, ["bucket", key]).drop("bucket")
+
+
 def read_stored(spark: SparkSession, path: str) -> DataFrame:
     """The table that :func:`write_recommendations` keeps."""
     return spark.read.parquet(path).drop("bucket")
