@@ -164,22 +164,27 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def components(links: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """``node``, ``label``: the smallest node that it is linked with, for every node with a link.
 
-    Rounds of smallest neighbour and of label's label, each written as a table, until nothing changes.
+    In each round every node that has a smaller neighbour is merged into the smallest of them, and from there once more. Links
+    are then between the merged nodes, equal ones once, so they become fewer from round to round, until none is left.
     """
-    both = scratch.save(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), f"{name}-edges")
-    labels = scratch.save(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("label")), f"{name}-0")
+    def unequal(a: str, b: str) -> list:
+        return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+    edges = scratch.save(links.select(*unequal("a", "b")).filter("a <> b").distinct(), f"{name}-edges-0")
+    labels = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct().withColumn("label", F.col("node"))
     turn = 0
     while True:
-        near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")) \
-            .agg(F.min("label").alias("near"))
-        lower = labels.join(near, "node").select("node", F.col("label").alias("before"), F.least("label", "near").alias("label"))
-        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("jump"))
         turn += 1
-        labels = scratch.save(lower.join(jump, "label", "left").select(
-            "node", "before", F.coalesce(F.least("label", "jump"), F.col("label")).alias("label")), f"{name}-{turn}")
-        if labels.filter("label <> before").isEmpty():
-            return labels.select("node", "label")
-        labels = labels.select("node", "label")
+        up = edges.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("up"))
+        parent = scratch.save(up.join(up.select(F.col("node").alias("up"), F.col("up").alias("next")), "up", "left")
+                              .select("node", F.coalesce("next", "up").alias("up")), f"{name}-parents-{turn}")
+        labels = scratch.save(labels.join(parent.select(F.col("node").alias("label"), "up"), "label", "left")
+                              .select("node", F.coalesce("up", "label").alias("label")), f"{name}-{turn}")
+        ends = edges.join(parent.select(F.col("node").alias("a"), F.col("up").alias("up_a")), "a", "left") \
+            .join(parent.select(F.col("node").alias("b"), F.col("up").alias("up_b")), "b", "left") \
+            .select(F.coalesce("up_a", "a").alias("x"), F.coalesce("up_b", "b").alias("y"))
+        edges = scratch.save(ends.filter("x <> y").select(*unequal("x", "y")).distinct(), f"{name}-edges-{turn}")
+        if edges.isEmpty():
+            return labels
 
 
 def _side(members: pa.Array, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -319,7 +324,13 @@ def near_duplicates(docs: DataFrame, scratch: Scratch) -> DataFrame:
         more = more.unionByName(_large(large, texts, scratch))
     more = scratch.save(more, "more-links")
     if not more.isEmpty():
-        labels = components(links.unionByName(more), scratch, "second")
+        # the links so far are in the labels already
+        ends = more.join(labels.select(F.col("node").alias("a"), F.col("label").alias("label_a")), "a", "left") \
+            .join(labels.select(F.col("node").alias("b"), F.col("label").alias("label_b")), "b", "left") \
+            .select(F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b"))
+        merged = components(ends, scratch, "second").select(F.col("node").alias("label"), F.col("label").alias("last"))
+        known = labels.unionByName(merged.select(F.col("label").alias("node"), "label").join(labels.select("node"), "node", "left_anti"))
+        labels = scratch.save(known.join(merged, "label", "left").select("node", F.coalesce("last", "label").alias("label")), "labels")
     classed = scratch.save(signed.select("doc_id", "hash").join(nodes.select("hash", "node"), "hash").join(labels, "node", "left")
                            .select("doc_id", "hash", F.coalesce("label", "node").alias("label")), "classed")
     classes = scratch.save(classed.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash")).alias("first"),
