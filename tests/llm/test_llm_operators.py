@@ -344,6 +344,26 @@ def classes_of(rows):
     return [(i, None if first[top(t or "")][0] else first[top(t or "")][1]) for i, t in rows]
 
 
+def test_components_of_paths_stars_and_random_links(spark):
+    g = random.Random(9)
+    order = list(range(300, 400))
+    g.shuffle(order)
+    links = list(zip(order, order[1:])) + [(500, i) for i in range(400, 430)] + [(g.randrange(80), g.randrange(80)) for _ in range(60)] + [(7, 7), (1, 2), (2, 1)]
+    up = {n: n for pair in links for n in pair}
+
+    def top(n):
+        while up[n] != n:
+            n = up[n]
+        return n
+    for a, b in links:
+        one, two = top(a), top(b)
+        up[max(one, two)] = min(one, two)
+    linked = {n for a, b in links if a != b for n in (a, b)}
+    got = bagminhash.components(spark.createDataFrame(links, "a long, b long"), Scratch(spark, "test"), "x")
+    assert {r.node: r.label for r in got.collect()} == {n: top(n) for n in linked}
+    assert bagminhash.components(spark.createDataFrame([], "a long, b long"), Scratch(spark, "test"), "x").count() == 0
+
+
 def test_null_ids_come_last_in_a_class(spark, scratch):
     text = " ".join(f"w{i}" for i in range(60))
     rows = spark.createDataFrame([(None, text), (7, text + " x"), (8, text), (None, "alone")], "doc_id long, text string")
