@@ -622,7 +622,7 @@ def stream_presence_expiry(f):
 
 @query
 def stream_recommend(f):
-    """Interests arrive in batches; the recommendations are computed once per batch, from all interests so far."""
+    """Interests arrive in batches; the recommendations are brought up to date once per batch, from all interests so far."""
     number = F.substring("username", 2, 20).cast("bigint")
     interests = _arriving(f, f.user_interest(), (number % STREAM_BATCHES).cast("int"), "interests")
     articles = edges.news_for_date(f.news(), NEWS_DATE)
@@ -632,10 +632,11 @@ def stream_recommend(f):
     listed = run.save(edges.article_edges(articles), "articles")
     urls = run.save(articles.select("url"), "urls")
 
+    standing = propagation.Standing()
+
     def recompute(known: DataFrame) -> DataFrame:
         network = edges.weighted_edges(friends, likes, edges.interest_edges(known), listed)
-        labels = propagation.propagate(known.select(F.col("username").alias("node")), network,
-                                       keep=urls.withColumnRenamed("url", "node"))
+        labels = standing.update(known.select(F.col("username").alias("node")), network, urls.withColumnRenamed("url", "node"))
         return propagation.recommendations(labels, urls)
 
     path = _run(lambda p: streams.stream_recommend(interests, p, recompute), f, "stream-recommend")

@@ -125,6 +125,36 @@ def test_state_has_a_row_per_block_and_not_per_pair(spark):
     assert state.count() * 10 < graph.pairs(state, None).count()
 
 
+@pytest.mark.parametrize("sizes", [{}, {"local_nodes": 0, "part_nodes": 4, "labels": 2}], ids=str)
+def test_standing_state_equals_the_full_run_after_each_batch(spark, sizes):
+    """Four batches of changes: new seeds, new edges and nodes, changed weights, a seed that goes."""
+    links = {(a, b): w for a, b, w in random_graph(8)}
+    batches = [({}, {"n0", "n3"}), ({("n0", "new1"): 0.3, ("new1", "n2"): 0.5}, {"n0", "n3", "n5"}),
+               ({("n0", "n1"): 0.9}, {"n0", "n3", "n5", "new1", "alone"}), ({}, {"n3", "n5", "new1"}), ({("n2", "x"): 1.0}, {"n3", "n5", "new1", "x"})]
+    standing = propagation.Standing(rounds=5, threshold=0.05, **sizes)
+    for changes, seeds in batches:
+        links |= changes
+        rows = [(a, b, w) for (a, b), w in links.items()]
+        got = result(standing.update(seeds_of(spark, sorted(seeds)), frame(spark, rows)))
+        assert got == pytest.approx(model(seeds, rows, 5, 0.05))
+
+
+def test_work_falls_with_what_a_change_reaches(spark):
+    """Twenty groups without edges between them: a change in one leaves the nodes of the others alone."""
+    rows = [(f"g{k}-{a[1:]}", f"g{k}-{b[1:]}", w) for k in range(20) for a, b, w in random_graph(k, n=8, m=15)]
+    seeds = sorted({f"g{k}-{i}" for k in range(20) for i in (0, 3)})
+    standing = propagation.Standing(rounds=4, threshold=-1.0)
+    standing.update(seeds_of(spark, seeds), frame(spark, rows))
+    assert all(done == all_ for done, all_ in standing.computed)
+    for changed, more in (((rows[0][0], rows[0][1], 0.77), ["g5-4"]), ((rows[-1][0], rows[-1][1], 0.11), [])):
+        rows, seeds = [changed if r[:2] == changed[:2] else r for r in rows], seeds + more
+        got = result(standing.update(seeds_of(spark, seeds), frame(spark, rows)))
+        assert got == pytest.approx(model(seeds, rows, 4, -1.0))
+        assert all(done <= 2 * 8 < all_ / 5 for done, all_ in standing.computed)
+    standing.update(seeds_of(spark, seeds), frame(spark, rows))
+    assert [done for done, _ in standing.computed] == [0] * 4       # nothing has changed
+
+
 def test_weights_add_up(spark):
     seeds = {"n0", "n3"}
     got = result(propagation.propagate(seeds_of(spark, seeds), frame(spark, random_graph(4)), rounds=3))
