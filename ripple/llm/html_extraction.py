@@ -5,13 +5,16 @@ A run of text of one block without a block in between is a text block. Scripts,
 markup, and what browsers do not show as text are left out: scripts, styles, text areas and titles up to their
 closing tag, other such elements (``UNSEEN``) up to theirs or, if they have none, to the end of their parent.
 
-**Features.** Kind of tag; words of class, id and role of the node and its ancestors; text length, link density,
+**Features.** Kind of tag; words of class, id, role and label of the node and of its ancestors, each hashed into one of
+``NAMES`` places, so that the trees find out which words tell; whether it is hidden; text length, link density,
 punctuation and characters per tag of the subtree; depth; place among siblings and on the page; how many
 siblings look alike; share of the parent's text.
 
 **Training.** No table has labels, so truth comes from layouts. The paragraphs of at most ``SAMPLE`` pages (those with
 the smallest hash of their id among those with html, of any length) are laid out again at random as articles among menus, headers, sidebars,
-notices, adverts, forms, comments and footers in many spellings; a node is positive if it holds article text. The
+notices, adverts, forms, comments and footers in many spellings; a node is positive if it holds article text. Some of the
+names in a layout are words of the sampled pages' own attributes, given to any part, so that the trees do not
+rest on names alone. The
 trees minimise the log loss over these nodes (binned features, second-order gains). The fitting is bounded by the
 sample, and the same at any table size: a page gives its first ``PARAGRAPHS`` paragraphs, the most that a layout
 takes, in at most ``PAGE_CHARS`` characters.
@@ -25,9 +28,11 @@ independent rows; repeated and null ids are kept. Empty table: empty result.
 
 from __future__ import annotations
 
+import functools
 import html
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -38,8 +43,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE, LAYOUTS = 300, 1_500
-PARAGRAPHS, PAGE_CHARS = 60, 50_000
-TREES, DEPTH, RATE, BINS = 60, 4, 0.25, 32
+PARAGRAPHS, PAGE_CHARS, PAGE_NAMES = 60, 50_000, 100
+TREES, DEPTH, RATE, BINS = 120, 4, 0.25, 32
+FREE_NAMES = 0.25
 
 #: Elements of HTML by their role.
 RAW = "script|style|textarea|title"
@@ -54,15 +60,8 @@ KINDS = {name: i for i, group in enumerate((
     "section")) for name in group.split()}
 N_KINDS = 14
 AWAY_TAGS = {"nav", "menu", "header", "footer", "aside", "form", "dialog"}
-#: Words of class, id and role.
-AWAY = set("ad ads adv advert advertisement advertising adsense alert announcement banner bottom breadcrumb breadcrumbs comment "
-           "comments commentlist consent contact cookie cookies copyright disqus dialog discussion follow foot footer form gdpr "
-           "head header legal links login masthead menu menubar meta modal more nav navbar navigation newsletter "
-           "notice notification overlay pager pagination paywall popup promo promoted promotion recommended related rail "
-           "reply replies responses search secondary share sharing shoutbox side sidebar signup site social sponsor sponsored "
-           "subscribe subscription tags teaser toc tool toolbar top topbar trending warning widget widgets author byline "
-           "complementary contentinfo sr only".split())
-HERE = set("article articlebody body content entry main post story text maincontent page prose blog column primary".split())
+#: Places that words of names are hashed into.
+NAMES = 256
 
 _TAGS = (r"<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][\w:-]*)([^>]*)>|<[!?/][^>]*>")
 _COMMENT = r"<!--.*?(?:-->|\Z)|"
@@ -82,8 +81,8 @@ _SPACE = re.compile(r"\s+")
 class Node:
     parent: int
     tag: str
-    away: int = 0       # words of its attributes on either list
-    here: int = 0
+    names: tuple[int, ...] = ()     # places of the words of its attributes
+    hidden: bool = False
     children: list[int] = field(default_factory=list)
     own: int = 0        # characters of its own text
     links: int = 0
@@ -98,6 +97,11 @@ class Page:
     runs: list[tuple[int, str]]         # (node, text) in page order
 
 
+@functools.lru_cache(1 << 16)
+def place(word: str) -> int:
+    return zlib.crc32(word.encode()) % NAMES
+
+
 def attribute_words(attributes: str) -> tuple[set[str], bool]:
     """Words of the naming attributes, and whether the element is hidden: by an attribute of that name, or by its style."""
     words: set[str] = set()
@@ -212,9 +216,8 @@ def parse(source: str | None) -> Page:
             in_link = left()
             node = Node(stack[-1], name)
             if attributes:
-                found, hidden = attribute_words(attributes)
-                node.away = len(found & AWAY) + 2 * hidden
-                node.here = len(found & HERE)
+                found, node.hidden = attribute_words(attributes)
+                node.names = tuple({place(w) for w in found})
             nodes[stack[-1]].children.append(len(nodes))
             stack.append(len(nodes))
             nodes.append(node)
@@ -253,20 +256,24 @@ def features(page: Page) -> np.ndarray:
                 total[p] += total[i]
             first[p] = min(first[p], first[i])
     whole = max(size[0], 1)
-    out = np.zeros((n, N_KINDS + 24), np.float32)
-    depth, away, here, away_tag, here_tag = (np.zeros(n) for _ in range(5))
+    out = np.zeros((n, N_KINDS + 22 + 2 * NAMES), np.float32)
+    own_names, all_names = out[:, -2 * NAMES:-NAMES], out[:, -NAMES:]       # of the node, of its ancestors
+    depth, hidden, away_tag, here_tag = (np.zeros(n) for _ in range(4))
     tags_of = [Counter(nodes[s].tag for s in v.children) for v in nodes]
     for i, v in enumerate(nodes):
         p = v.parent
         if p >= 0:
             depth[i] = depth[p] + 1
-            away[i], here[i] = away[p] + (nodes[p].away > 0), here[p] + (nodes[p].here > 0)
+            hidden[i] = hidden[p] + nodes[p].hidden
+            np.maximum(all_names[p], own_names[p], out=all_names[i])
             away_tag[i], here_tag[i] = away_tag[p] + (nodes[p].tag in AWAY_TAGS), here_tag[p] + (nodes[p].tag in ("article", "main"))
         sibs = nodes[p].children if p >= 0 else [0]
         alike = tags_of[p][v.tag] if p >= 0 else 1
         out[i, KINDS.get(v.tag, N_KINDS - 1)] = 1
-        out[i, N_KINDS:] = (
-            v.away, v.here, away[i], here[i], away_tag[i], here_tag[i], math.log1p(size[i]), math.log1p(v.own),
+        if v.names:
+            own_names[i, list(v.names)] = 1
+        out[i, N_KINDS:N_KINDS + 22] = (
+            v.hidden, hidden[i], away_tag[i], here_tag[i], math.log1p(size[i]), math.log1p(v.own),
             min(links[i] / max(size[i], 1), 1), math.log1p(words[i]), marks[i] / max(words[i], 1), size[i] / max(tags[i], 1),
             depth[i], math.log1p(len(v.children)), math.log1p(len(sibs)), alike / len(sibs), size[i] / max(size[p] if p >= 0 else 1, 1),
             min(first[i], whole) / whole, size[i] / whole, items[i] / max(tags[i], 1), size[i] / max(words[i], 1),
@@ -300,8 +307,10 @@ class Trees:
 
 def boost(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH, rate: float = RATE) -> Trees:
     """Trees for the log loss, with splits at quantiles and second-order gains."""
-    cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, BINS + 1)[1:-1])) for j in range(x.shape[1])]
-    binned = np.stack([np.searchsorted(c, x[:, j], "left") for j, c in enumerate(cuts)], axis=1)
+    n_plain = x.shape[1] - 2 * NAMES        # the others are 0 or 1
+    cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, BINS + 1)[1:-1])) for j in range(n_plain)]
+    binned = np.stack([np.searchsorted(c, x[:, j], "left").astype(np.uint8) for j, c in enumerate(cuts)], axis=1)
+    has, which = np.nonzero(x[:, n_plain:])
     share = np.clip(y.mean(), 1e-3, 1 - 1e-3)
     base = float(np.log(share / (1 - share)))
     odds = np.full(len(y), base)
@@ -319,7 +328,7 @@ def boost(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH,
         if level == depth or len(rows) < 20:
             return
         best = (1e-3, -1, -1)
-        for j in range(x.shape[1]):
+        for j in range(n_plain):
             if not len(cuts[j]):
                 continue
             gs = np.cumsum(np.bincount(binned[rows, j], g[rows], len(cuts[j]) + 1))[:-1]
@@ -329,13 +338,21 @@ def boost(x: np.ndarray, y: np.ndarray, trees: int = TREES, depth: int = DEPTH,
             k = int(gain.argmax())
             if gain[k] > best[0]:
                 best = (gain[k], j, k)
+        inside = np.zeros(len(y), bool)
+        inside[rows] = True
+        of, word = has[inside[has]], which[inside[has]]
+        gs, hs = (total - np.bincount(word, v[of], 2 * NAMES) for total, v in ((total_g, g), (total_h, h)))     # of rows without each word
+        gain = gs ** 2 / (hs + 1) + (total_g - gs) ** 2 / (total_h - hs + 1) - total_g ** 2 / (total_h + 1)
+        gain[(hs < 1) | (total_h - hs < 1)] = 0
+        if gain.max() > best[0]:
+            best = (gain.max(), n_plain + int(gain.argmax()), 0)
         _, j, k = best
         if j < 0:
             return
         odds[rows] -= value[node]
         one, two = leaf(), leaf()
-        feature[node], cut[node], left[node] = j, float(cuts[j][k]), one
-        right = binned[rows, j] > k
+        feature[node], cut[node], left[node] = j, float(cuts[j][k]) if j < n_plain else 0.5, one
+        right = binned[rows, j] > k if j < n_plain else x[rows, j] > 0.5
         grow(one, rows[~right], g, h, level + 1)
         grow(two, rows[right], g, h, level + 1)
 
@@ -379,8 +396,8 @@ _NAMES = {
 MINE, OTHER = "\u2063", "\u2064"
 
 
-def layout(texts: list[str], other: list[str], g: np.random.Generator) -> str:
-    """A page around paragraphs."""
+def layout(texts: list[str], other: list[str], g: np.random.Generator, names: list[str] = (), free: float = FREE_NAMES) -> str:
+    """A page around paragraphs; ``names`` are given to parts of any kind, with the chance ``free``."""
     def pick(options):
         return options[int(g.integers(len(options)))]
 
@@ -390,7 +407,8 @@ def layout(texts: list[str], other: list[str], g: np.random.Generator) -> str:
         return " ".join(w[s:s + k]) + OTHER
 
     def box(kind: str, tag: str, inside: str, bare: float = 0.0) -> str:
-        name = f' class="{pick(_NAMES[kind].split())}"' if g.random() < .7 else f' id="{pick(_NAMES[kind].split())}"'
+        chosen = pick(names) if len(names) and g.random() < free else pick(_NAMES[kind].split())
+        name = f' class="{chosen}"' if g.random() < .7 else f' id="{chosen}"'
         if g.random() < .45 and tag != "div":
             return f"<{tag}{name if g.random() < .4 else ''}>{inside}</{tag}>"
         other_tag = pick(("div", "div", "section"))
@@ -429,7 +447,7 @@ def layout(texts: list[str], other: list[str], g: np.random.Generator) -> str:
     body = [paragraph(t) for t in texts]
     for kind, chance in (("ad", .25), ("share", .2), ("aside", .1), ("form", .08)):
         if g.random() < chance:
-            piece = prose(1) if kind != "share" else menu(3)
+            piece = prose(1) if kind != "share" else pick((menu(3), f'<a href="/s">{words(1)}</a>', words(2)))
             body.insert(int(g.integers(len(body) + 1)), box(kind, "aside" if kind == "aside" else "div", piece))
     title = f"<h1>{mine(words(int(g.integers(1, 9))))}</h1>"
     if g.random() < .2:
@@ -484,8 +502,8 @@ def pick_most(g: np.random.Generator) -> int:
     return int((4, 12, 60)[int(g.integers(3))])
 
 
-def fit(pages: list[list[str]], layouts: int = LAYOUTS, seed: int = 7) -> Trees:
-    """Trees from at least ``layouts`` layouts of these pages' paragraphs, as many of each."""
+def fit(pages: list[list[str]], layouts: int = LAYOUTS, seed: int = 7, names: list[str] = ()) -> Trees:
+    """Trees from at least ``layouts`` layouts of these pages' paragraphs, as many of each; ``names`` as for :func:`layout`."""
     g = np.random.default_rng(seed)
     texts = [p for p in pages if p] or [["no text at all here"]]
     other = [t for p in texts for t in p if t.count(" ") > 4] or ["no text at all here"]
@@ -493,7 +511,7 @@ def fit(pages: list[list[str]], layouts: int = LAYOUTS, seed: int = 7) -> Trees:
     for paragraphs in texts:
         for _ in range(-(-layouts // len(texts))):
             k = int(g.integers(1, pick_most(g) + 1))
-            page = parse(layout(paragraphs[:k], other, g))
+            page = parse(layout(paragraphs[:k], other, g, names))
             positive = np.zeros(len(page.nodes))
             for node, text in page.runs:
                 if MINE in text:
@@ -505,25 +523,36 @@ def fit(pages: list[list[str]], layouts: int = LAYOUTS, seed: int = 7) -> Trees:
     return boost(np.concatenate(xs), np.concatenate(ys))
 
 
-def drawn(pages: DataFrame, sample: int = SAMPLE) -> list[list[str]]:
-    """Paragraphs of the pages with the smallest hash of their id; at most ``sample`` pages' come to the driver."""
+def names_of(source: str, most: int = PAGE_NAMES) -> list[str]:
+    """Words of a page's naming attributes, the first ones in the order of their hashes."""
+    words = {w for tag in _TOKEN.finditer(source) for w in attribute_words(tag[4] or tag[7] or "")[0]}
+    return sorted((w for w in words if len(w) <= 40), key=lambda w: zlib.crc32(w.encode()))[:most]
+
+
+def drawn(pages: DataFrame, sample: int = SAMPLE) -> tuple[list[list[str]], list[str]]:
+    """Paragraphs of the pages with the smallest hash of their id, and the words that name their parts; at most ``sample`` pages'
+    come to the driver.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        strings = pa.list_(pa.string())
         for b in batches:
-            found = [bounded(paragraphs_of(s.as_py())) for s in b.column("html")]
-            yield pa.RecordBatch.from_arrays([b.column("key"), b.column("tie"), pa.array(found, pa.list_(pa.string()))],
-                                             ["key", "tie", "paragraphs"])
+            sources = [s.as_py() for s in b.column("html")]
+            yield pa.RecordBatch.from_arrays([
+                b.column("key"), b.column("tie"), pa.array([bounded(paragraphs_of(s)) for s in sources], strings),
+                pa.array([names_of(s) for s in sources], strings)], ["key", "tie", "paragraphs", "names"])
 
     key = F.xxhash64("page_id")
     usable = pages.filter(F.length("html") > 0).select(key.alias("key"), F.xxhash64("html").alias("tie"), "html")
     # the numbers come first, so that tasks send the driver no more pages than it takes
     keys = [r[0] for r in usable.select("key").orderBy("key").limit(sample).collect()]
     rows = usable.filter(F.col("key") <= F.lit(max(keys, default=0))) \
-        .mapInArrow(run, "key long, tie long, paragraphs array<string>").orderBy("key", "tie").limit(sample).collect()
-    return [r.paragraphs for r in rows]
+        .mapInArrow(run, "key long, tie long, paragraphs array<string>, names array<string>").orderBy("key", "tie").limit(sample).collect()
+    return [r.paragraphs for r in rows], sorted({w for r in rows for w in r.names})
 
 
 def train(pages: DataFrame, sample: int = SAMPLE) -> Trees:
-    return fit(drawn(pages, sample))
+    paragraphs, names = drawn(pages, sample)
+    return fit(paragraphs, names=names)
 
 
 def extract(pages: DataFrame, trees: Trees) -> DataFrame:
