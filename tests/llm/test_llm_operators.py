@@ -580,6 +580,29 @@ def test_layouts_not_trained_on(trees, spark):
     assert exact >= 0.9 * len(texts)
 
 
+def test_layouts_whose_names_are_in_no_list(trees, spark):
+    """Every class and id replaced by a word that no layout has."""
+    g = np.random.default_rng(99)
+    sources = [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").limit(80).collect()]
+    texts = [p for p in map(html_extraction.paragraphs_of, sources) if p]
+    other = [t for p in texts for t in p if t.count(" ") > 4]
+    right = total = 0
+    for p in texts:
+        source = re.sub('((?:class|id)=")([^"]*)"', lambda m: m[1] + " ".join("zq" + hashlib.md5(w.encode()).hexdigest()[:6] for w in m[2].split()) + '"',
+                        html_extraction.layout(p[:8], other, g))
+        page = html_extraction.parse(source)
+        keep = html_extraction.decode(page, trees.log_odds(html_extraction.features(page)))
+        right += sum(bool(keep[node]) == (html_extraction.MINE in t) for node, t in page.runs)
+        total += len(page.runs)
+    assert right >= 0.9 * total
+
+
+def test_names_of_a_page():
+    source = '<nav class="mainMenu x-1"><a href="y" class="menu">a</a></nav><div id=side-bar title="none">b</div>'
+    assert set(html_extraction.names_of(source)) == {"main", "menu", "x", "1", "side", "bar"}
+    assert len(html_extraction.names_of(source, 2)) == 2
+
+
 def test_a_kept_node_has_kept_ancestors():
     page = html_extraction.parse("<div><div><p>a</p></div><div><p>b</p><p>c</p></div></div>")
     keep = html_extraction.decode(page, np.array([0, -1, -5, 3, -1, 2, 2], float))
@@ -591,7 +614,7 @@ def test_sample_of_long_and_missing_pages(spark):
     long = "<body>" + "<p>a river and a stone</p>" * 3_000 + "</body>"
     rows = [(i, None if i % 2 else "<body><p>short page</p></body>" if i % 100 == 0 else long) for i in range(500)]
     rows += [(1000, "<p>" + "word " * 100_000 + "</p>")]
-    found = html_extraction.drawn(spark.createDataFrame(rows, "page_id long, html string"), 251)
+    found, _ = html_extraction.drawn(spark.createDataFrame(rows, "page_id long, html string"), 251)
     assert len(found) == 251 and all(found)
     assert sorted({len(p) for p in found}) == [1, html_extraction.PARAGRAPHS]
     assert max(sum(map(len, p)) for p in found) == html_extraction.PAGE_CHARS
@@ -617,5 +640,5 @@ def test_unseen_elements(source, want):
 @pytest.mark.parametrize("n", [10, 48, 49, 60, 500])
 def test_siblings_that_look_alike_are_counted(n):
     page = html_extraction.parse("<article><h1>a</h1>" + "<p>b</p>" * n + "</article>")
-    alike = html_extraction.features(page)[:, html_extraction.N_KINDS + 15]
+    alike = html_extraction.features(page)[:, html_extraction.N_KINDS + 13]
     assert np.allclose(alike, [1, 1, 1 / (n + 1), *[n / (n + 1)] * n])
