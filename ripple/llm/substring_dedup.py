@@ -17,8 +17,6 @@ the scan. A null id comes last. Empty table: empty result.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,7 +30,6 @@ LENGTH = 20
 SHORTEST = 8
 _LAST = np.iinfo(np.int64).max
 LAST = 99        # the number of the last level
-SENT = "block long, level int, bucket int, answer binary"
 
 
 def lower_levels(length: int) -> list[int]:
@@ -102,12 +99,12 @@ def _candidates(block: Block, length: int, alive: np.ndarray | None) -> np.ndarr
     return np.flatnonzero(valid)
 
 
-def _alive(block: Block, lengths: list[int], replies: pa.Table, buckets: int) -> np.ndarray | None:
+def _alive(block: Block, lengths: list[int], replies: pa.Table, space: blocks.Space) -> np.ndarray | None:
     """Whether the window of the last of these levels is repeated, at each place; None before the first level."""
     alive = None
     for number, length in enumerate(lengths):
         level = Level(block.level(length), _candidates(block, length, alive))
-        seen = blocks.answers(replies, number, blocks.bucket_cuts(level.distinct, buckets)) | (level.count > 1)
+        seen = blocks.answers(replies, number, space.cuts(level.distinct)) | (level.count > 1)
         alive = np.zeros(block.n, bool)
         alive[level.at] = seen[level.group]
     return alive
@@ -131,20 +128,29 @@ def _first_of_groups(level: Level, block: Block, ids: np.ndarray) -> np.ndarray:
     return order[np.flatnonzero(level.new)] if len(order) else order
 
 
-def _answer_first(group: pa.Table) -> pa.Table:
-    """One bucket of the last level: which block's entry of a hash is not its first occurrence."""
-    parts = [blocks.unpack(p.as_py(), "uint64", "uint64", "int64") for p in group.column("answer")]
-    sizes = [len(p[0]) for p in parts]
-    if not sum(sizes):
-        return group
-    h, g, ids = (np.concatenate([p[i] for p in parts]) for i in range(3))
-    block = np.repeat(np.array(group.column("block").to_pylist(), np.int64), sizes)
-    order = np.lexsort((block, ids, g, h))
-    same = (h[order][1:] == h[order][:-1]) & (g[order][1:] == g[order][:-1])
-    later = np.zeros(len(h), bool)
-    later[order[1:][same]] = True
-    found = [blocks.bits(x) for x in np.split(later, np.cumsum(sizes)[:-1])]
-    return group.set_column(group.column_names.index("answer"), "answer", pa.array(found, pa.binary()))
+class Later(blocks.Question):
+    """Which entry of two hashes is not the first by id and block."""
+
+    kinds = ("uint64", "uint64", "int64", "int64")
+
+    def answer(self, *columns: np.ndarray) -> list[np.ndarray]:
+        later = np.ones(len(columns[0]), bool)
+        later[self.merge(*columns)[2]] = False
+        return [later]
+
+    def merge(self, h, g, ids, block):
+        order = np.lexsort((block, ids, g, h))
+        new = np.ones(len(h), bool)
+        new[1:] = (h[order][1:] != h[order][:-1]) | (g[order][1:] != g[order][:-1])
+        member = np.empty(len(h), np.int64)
+        member[order] = np.cumsum(new) - 1
+        chosen = order[new]
+        return [x[chosen] for x in (h, g, ids, block)], member, chosen
+
+    def back(self, told, member, chosen):
+        later = np.ones(len(member), bool)
+        later[chosen] = told[0]
+        return [later]
 
 
 def covered(n: int, starts: np.ndarray, length: int) -> np.ndarray:
@@ -155,41 +161,35 @@ def covered(n: int, starts: np.ndarray, length: int) -> np.ndarray:
     return np.cumsum(step[:-1]) > 0
 
 
-def _sent(rows: Iterator[tuple]) -> pa.Table:
-    kinds = {"block": pa.int64(), "level": pa.int32(), "bucket": pa.int32(), "answer": pa.binary()}
-    columns = list(zip(*rows)) or [()] * len(kinds)
-    return pa.table({name: pa.array(c, kind) for (name, kind), c in zip(kinds.items(), columns)})
-
-
 def _removed(placed: DataFrame, scratch: Scratch, length: int) -> DataFrame:
     lengths = lower_levels(length)
-    # a word and its white space take some six bytes
-    buckets = blocks.n_buckets((placed.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 6)
+    size = placed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    space = blocks.Space.of(size // 6, size)        # a word and its white space take some six bytes
 
     def coarse_pass(number: int):
         def run(rows: pa.Table, replies: pa.Table) -> pa.Table:
             block = Block(rows)
-            alive = _alive(block, lengths[:number], replies, buckets)
+            alive = _alive(block, lengths[:number], replies, space)
             level = Level(block.level(lengths[number]), _candidates(block, lengths[number], alive))
-            return _sent(blocks.send_coarse(rows.column("block")[0].as_py(), level.distinct, buckets, number))
+            hashes = space.coarse(level.distinct)
+            return blocks.sent(blocks.send(rows.column("block")[0].as_py(), number, space.cuts(hashes), hashes))
         return run
 
     def last_pass(rows: pa.Table, replies: pa.Table) -> pa.Table:
         block = Block(rows)
-        level, second = _final(block, length, _alive(block, lengths, replies, buckets))
+        level, second = _final(block, length, _alive(block, lengths, replies, space))
         ids = _ids(block.rows)
         earliest = level.at[_first_of_groups(level, block, ids)]
-        cuts = blocks.bucket_cuts(level.distinct, buckets)
         number = rows.column("block")[0].as_py()
-        return _sent((number, LAST, b, blocks.pack(level.distinct[x:y], second[earliest[x:y]], ids[block.owner[earliest[x:y]]]))
-                     for b, (x, y) in enumerate(zip(cuts, cuts[1:])) if x < y)
+        return blocks.sent(blocks.send(number, LAST, space.cuts(level.distinct), level.distinct, second[earliest],
+                                       ids[block.owner[earliest]], np.full(len(earliest), number)))
 
     def result(rows: pa.Table, replies: pa.Table) -> pa.Table:
         block = Block(rows)
-        level, _ = _final(block, length, _alive(block, lengths, replies, buckets))
+        level, _ = _final(block, length, _alive(block, lengths, replies, space))
         repeat = np.ones(len(level.at), bool)       # all but the first of a block, and that too if another block has it before
         repeat[_first_of_groups(level, block, _ids(block.rows))] = \
-            blocks.answers(replies, LAST, blocks.bucket_cuts(level.distinct, buckets))
+            blocks.answers(replies, LAST, space.cuts(level.distinct))
         gone = covered(block.n, level.at[repeat], length)
         n_removed, sums = [], []
         for i, text in enumerate(block.text):
@@ -202,13 +202,12 @@ def _removed(placed: DataFrame, scratch: Scratch, length: int) -> DataFrame:
                          "n_removed": pa.array(n_removed, pa.int64()), "kept_sha256": pa.array(sums, pa.string())})
 
     by_block = placed.groupBy("block")
-    replies = scratch.spark.createDataFrame([], SENT)
+    replies = scratch.spark.createDataFrame([], blocks.SENT)
     for number in range(len(lengths)):
-        asked = by_block.cogroup(replies.groupBy("block")).applyInArrow(coarse_pass(number), SENT)
-        answered = asked.groupBy("bucket").applyInArrow(blocks.answer_coarse, SENT)
-        replies = replies.unionByName(scratch.save(answered, f"level{number}"))
-    asked = by_block.cogroup(replies.groupBy("block")).applyInArrow(last_pass, SENT)
-    replies = replies.unionByName(scratch.save(asked.groupBy("bucket").applyInArrow(_answer_first, SENT), "last"))
+        asked = by_block.cogroup(replies.groupBy("block")).applyInArrow(coarse_pass(number), blocks.SENT)
+        replies = replies.unionByName(blocks.ask(asked, blocks.Question(number), space, scratch, f"level{number}"))
+    asked = by_block.cogroup(replies.groupBy("block")).applyInArrow(last_pass, blocks.SENT)
+    replies = replies.unionByName(blocks.ask(asked, Later(LAST), space, scratch, "last"))
     return scratch.save(by_block.cogroup(replies.groupBy("block")).applyInArrow(
         result, "doc_id long, n_words long, n_removed long, kept_sha256 string"), "result")
 

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from ripple.llm import blocks
 from ripple.llm.common import Scratch
 from ripple.llm.hashing import U, mix, prefix, slices, span
-from ripple.llm.substring_dedup import SENT, _sent, covered
+from ripple.llm.substring_dedup import covered
 
 LENGTH = 400
 TUPLE, INSIDE, EDGE, STRING = 0, 1, 2, 3        # which question a row of hashes or its answer belongs to
@@ -134,23 +134,19 @@ class Sorted:
         out[self.order[self.new]] = flags
         return out
 
-    def rows(self, block: int, level: int, buckets: int):
-        cuts = blocks.bucket_cuts(self.h, buckets)
-        many = (self.count > 1).astype(np.uint8)
-        for b, (x, y) in enumerate(zip(cuts, cuts[1:])):
-            if x < y:
-                yield block, level, b, blocks.pack(self.h[x:y], self.g[x:y], many[x:y])
+    def rows(self, block: int, level: int, space: blocks.Space):
+        return blocks.send(block, level, space.cuts(self.h), self.h, self.g, (self.count > 1).astype(np.uint8))
 
 
 class Progress:
     """What is known of a block after the answers so far; recomputed in every pass."""
 
-    def __init__(self, block: Block, replies: pa.Table, buckets: int, stage: int):
+    def __init__(self, block: Block, replies: pa.Table, space: blocks.Space, stage: int):
         self.block = block
         self.tuples = Sorted(block.names())
         if stage <= TUPLE:
             return
-        told = lambda level, s: blocks.answers(replies, level, blocks.bucket_cuts(s.h, buckets))
+        told = lambda level, s: blocks.answers(replies, level, space.cuts(s.h))
         repeated = told(TUPLE, self.tuples) | (self.tuples.count > 1)
         self.left = np.flatnonzero(self.tuples.back(repeated))
         names = np.zeros(len(block.at), U)
@@ -168,66 +164,74 @@ class Progress:
         self.repeats = self.starts[self.strings.back(told(STRING, self.strings) | (self.strings.count > 1))]
 
 
-def _groups(group: pa.Table):
-    """One bucket's entries together: sizes by row, hashes, counts, order by hashes, and which of them begin a hash."""
-    parts = [blocks.unpack(p.as_py(), "uint64", "uint64", "uint8") for p in group.column("answer")]
-    sizes = [len(p[0]) for p in parts]
-    h, g, many = (np.concatenate([p[i] for p in parts]) for i in range(3))
+def _together(h: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order of entries by hashes, and which of them, in that order, begin a first hash and a pair of hashes."""
     order = np.lexsort((g, h))
-    h, g, many = h[order], g[order], many[order].astype(np.int64) + 1
+    h, g = h[order], g[order]
     name = np.ones(len(h), bool)
     name[1:] = h[1:] != h[:-1]
     both = name.copy()
     both[1:] |= g[1:] != g[:-1]
-    return sizes, order, many, name, both
+    return order, name, both
 
 
-def _replies(group: pa.Table, level: int, sizes: list[int], flags: np.ndarray) -> pa.Table:
-    found = [blocks.bits(x) for x in np.split(flags, np.cumsum(sizes)[:-1])]
-    return pa.table({"block": group.column("block"), "level": pa.array([level] * len(found), pa.int32()),
-                     "bucket": group.column("bucket"), "answer": pa.array(found, pa.binary())})
+class Strings(blocks.Question):
+    """Which pairs of hashes occur twice; the third column says which do so within their block."""
 
+    kinds = ("uint64", "uint64", "uint8")
 
-def _answer_contexts(group: pa.Table) -> pa.Table:
+    def answer(self, h, g, many):
+        (_, _, twice), member, _ = self.merge(h, g, many)
+        return [twice[member] > 0]
+
+    def merge(self, h, g, many):
+        order, _, both = _together(h, g)
+        member = np.empty(len(h), np.int64)
+        member[order] = np.cumsum(both) - 1
+        chosen = order[both]
+        twice = np.bincount(member, many.astype(np.int64) + 1, len(chosen)) > 1
+        return [h[chosen], g[chosen], twice.astype(np.uint8)], member, chosen
+
+    def back(self, told, member, chosen):
+        return [told[0][member]]
+
+
+class Contexts(Strings):
     """Which contexts occur twice, and which are to be compared string by string."""
-    sizes, order, many, name, both = _groups(group)
-    context, tuple_ = np.cumsum(both) - 1, np.cumsum(name) - 1
-    twice = (np.bincount(context, many) > 1)[context]
-    edges = np.bincount(tuple_, ~twice)
-    # a tuple with a single context that occurs once has no partner
-    contexts = np.bincount(tuple_, both)
-    ask = (edges > 0) & (contexts > 1)
-    inside, edge = np.zeros(len(order), bool), np.zeros(len(order), bool)
-    inside[order] = twice
-    edge[order] = ask[tuple_] & both        # one place of each context
-    return pa.concat_tables([_replies(group, INSIDE, sizes, inside), _replies(group, EDGE, sizes, edge)])
-
-
-def _answer_strings(group: pa.Table) -> pa.Table:
-    sizes, order, many, _, both = _groups(group)
-    string = np.cumsum(both) - 1
-    flags = np.zeros(len(order), bool)
-    flags[order] = (np.bincount(string, many) > 1)[string]
-    return _replies(group, STRING, sizes, flags)
+
+    def answer(self, h, g, many):
+        (tuples, _, twice), member, chosen = self.merge(h, g, many)
+        name = np.cumsum(np.concatenate(([True], tuples[1:] != tuples[:-1]))) - 1
+        # a tuple with a single context that occurs once has no partner
+        asked = (np.bincount(name, twice == 0) > 0) & (np.bincount(name) > 1)
+        edge = np.zeros(len(h), bool)
+        edge[chosen] = asked[name]       # one place of each context
+        return [twice[member] > 0, edge]
+
+    def back(self, told, member, chosen):
+        edge = np.zeros(len(member), bool)
+        edge[chosen] = told[1]
+        return [told[0][member], edge]
 
 
 def _removed(placed: DataFrame, scratch: Scratch, length: int) -> DataFrame:
     v, cover = difference_cover(length)
     total = placed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = blocks.n_buckets(total * len(cover) // v)
+    space = blocks.Space.of(total * len(cover) // v, total)
 
     def ask(stage: int):
         def run(rows: pa.Table, replies: pa.Table) -> pa.Table:
             number = rows.column("block")[0].as_py()
-            known = Progress(Block(rows, length), replies, buckets, stage)
+            known = Progress(Block(rows, length), replies, space, stage)
             if stage == TUPLE:
-                return _sent(blocks.send_coarse(number, known.tuples.h, buckets, TUPLE))
-            return _sent((known.contexts if stage == INSIDE else known.strings).rows(number, stage, buckets))
+                hashes = space.coarse(known.tuples.h)
+                return blocks.sent(blocks.send(number, TUPLE, space.cuts(hashes), hashes))
+            return blocks.sent((known.contexts if stage == INSIDE else known.strings).rows(number, stage, space))
         return run
 
     def result(rows: pa.Table, replies: pa.Table) -> pa.Table:
         block = Block(rows, length)
-        known = Progress(block, replies, buckets, STRING + 1)
+        known = Progress(block, replies, space, STRING + 1)
         starts = np.union1d(block.starts(known.inside), known.repeats)
         gone = covered(int(block.first[-1]), starts, length)
         out = []
@@ -243,10 +247,10 @@ def _removed(placed: DataFrame, scratch: Scratch, length: int) -> DataFrame:
             name: pa.array(c) for name, c in zip(("n_bytes", "n_removed", "n_spans", "kept_sha256"), columns)})
 
     by_block = placed.groupBy("block")
-    replies = scratch.spark.createDataFrame([], SENT)
-    for stage, answer in ((TUPLE, blocks.answer_coarse), (INSIDE, _answer_contexts), (STRING, _answer_strings)):
-        asked = by_block.cogroup(replies.groupBy("block")).applyInArrow(ask(stage), SENT)
-        replies = replies.unionByName(scratch.save(asked.groupBy("bucket").applyInArrow(answer, SENT), f"stage{stage}"))
+    replies = scratch.spark.createDataFrame([], blocks.SENT)
+    for stage, question in ((TUPLE, blocks.Question(TUPLE)), (INSIDE, Contexts(INSIDE, EDGE)), (STRING, Strings(STRING))):
+        asked = by_block.cogroup(replies.groupBy("block")).applyInArrow(ask(stage), blocks.SENT)
+        replies = replies.unionByName(blocks.ask(asked, question, space, scratch, f"stage{stage}"))
     return scratch.save(by_block.cogroup(replies.groupBy("block")).applyInArrow(
         result, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"), "result")
 

@@ -492,6 +492,77 @@ def test_repeats_in_small_slices_and_buckets(spark, docs, empty, monkeypatch):
     assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("blocks_")]
 
 
+def words_removed(rows, length):
+    seen, want = set(), []
+    for i, t in sorted(rows):
+        w = t.split()
+        gone = np.zeros(len(w), bool)
+        for p in range(len(w) - length + 1):
+            gone[p:p + length] |= tuple(w[p:p + length]) in seen
+            seen.add(tuple(w[p:p + length]))
+        want.append((i, int(gone.sum())))
+    return sorted(want, key=repr)
+
+
+def copied(n, seed=5):
+    """Texts of shared and own passages; ids repeat nowhere."""
+    g = random.Random(seed)
+    letters = lambda: "".join(g.choice("abcdefgh") for _ in range(g.randint(1, 4)))     # noqa: E731
+    shared = [" ".join(letters() for _ in range(30)) for _ in range(6)]
+    return [(i, " ".join(g.choice(shared)[g.randint(0, 20):] if g.random() < 0.4 else letters() for _ in range(g.randint(0, 25))))
+            for i in range(n)]
+
+
+@pytest.mark.parametrize("fan", [1, 2, 3])
+def test_repeats_over_several_hops(spark, monkeypatch, fan):
+    for name, value in {"BUCKET_ENTRIES": 32, "FAN_BITS": fan, "BLOCK_BYTES": 700}.items():
+        monkeypatch.setattr(blocks, name, value)
+    rows = copied(80) + [(200 + i, "the same text of ten words, in many a document " * 3) for i in range(25)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    space = blocks.Space.of(20_000, 20_000)
+    assert space.bits > 2 * fan      # three hops at least
+    for length in (8, 16):
+        got = as_rows(substring_dedup.remove_repeats(docs, Scratch(spark, "test"), length), "doc_id", "n_removed")
+        assert got == words_removed(rows, length)
+    got = suffix_dedup.remove_repeats(docs, Scratch(spark, "test"), 60)
+    assert as_rows(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == bytes_removed(rows, 60)
+
+
+def test_blocks_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", 50_000)
+    sizes = [10] * 300 + [40_000] * 6 + [0] * 100 + [200_000] + [3_000] * 60
+    rows = [(i, "x" * n if n else None) for i, n in enumerate(sizes)]
+    with blocks.BlockTable(spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)) as placed:
+        found = placed.groupBy("block").agg({"row": "count", "text": "max"}).collect()
+        assert placed.count() == len(rows) and placed.select("row").distinct().count() == len(rows)
+        size = {r.block: r.n for r in placed.selectExpr("block", "octet_length(text) + 256 AS n").groupBy("block").sum("n").toDF("block", "n").collect()}
+        last = {r.block: r.n for r in placed.selectExpr("block", "row", "octet_length(text) + 256 AS n")
+                .groupBy("block").agg({"n": "max"}).toDF("block", "n").collect()}
+    assert len(found) > 8 and all(n <= 50_000 + last[b] for b, n in size.items())
+
+
+def test_rows_sent_grow_with_the_input(spark, monkeypatch):
+    for name, value in {"BUCKET_ENTRIES": 256, "FAN_BITS": 2, "BLOCK_BYTES": 4_000}.items():
+        monkeypatch.setattr(blocks, name, value)
+
+    class Counting(Scratch):
+        rows = 0
+
+        def save(self, df, name, options=None):
+            saved = super().save(df, name, options)
+            if "answer" in saved.columns:
+                self.rows += saved.count()
+            return saved
+
+    sent = []
+    for n in (60, 120, 240):
+        scratch = Counting(spark, "test")
+        substring_dedup.remove_repeats(spark.createDataFrame(copied(n), "doc_id long, text string").coalesce(1), scratch, 8)
+        sent.append(scratch.rows)
+    # twice the input may add a hop, never the square
+    assert sent[1] < 3 * sent[0] and sent[2] < 3 * sent[1]
+
+
 def test_packed_arrays_and_slices():
     a, b = np.arange(5, dtype=np.uint64) * 10**15, np.array([1, -2, 3, 4, 5])
     x, y = blocks.unpack(blocks.pack(a, b), "uint64", "int64")
