@@ -160,9 +160,12 @@ def fingerprints(docs: DataFrame, scratch: Scratch, anchors=ANCHORS) -> DataFram
         likeness(F.col("chains"), F.col("next_chains")).alias("near_next"))
 
 
-def near_pairs(docs: DataFrame, scratch: Scratch, near: float = NEAR) -> tuple[DataFrame, DataFrame]:
-    """(``doc_id``, ``set_id`` of every document with chains; ``a``, ``b``, ``likeness`` of sets at least ``near`` alike)."""
-    signed = signatures(docs.select("doc_id", "text")).filter(F.size("chains") > 0) \
+def near_pairs(docs: DataFrame, scratch: Scratch, near: float = NEAR, anchors=ANCHORS) -> tuple[DataFrame, DataFrame]:
+    """(``doc_id``, ``set_id`` of every document with chains; ``a``, ``b``, ``likeness`` of sets at least ``near`` alike).
+
+    With the ``anchors`` of ``fingerprints``, the sets are those fingerprints.
+    """
+    signed = signatures(docs.select("doc_id", "text"), anchors=anchors).filter(F.size("chains") > 0) \
         .select("doc_id", "chains", F.md5(digits(F.col("chains")).cast("binary")).alias("set_id"))
     signed = scratch.save(signed, "signed")
     sets = signed.groupBy("set_id").agg(F.first("chains").alias("chains")).withColumn("n", F.size("chains"))

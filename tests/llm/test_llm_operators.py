@@ -265,6 +265,15 @@ def test_near_pairs_of_fingerprints(spark, scratch):
     assert want and {frozenset((r.a, r.b)) for r in pairs.collect()} == want
 
 
+def test_near_pairs_take_the_anchors_of_fingerprints(spark, scratch):
+    rows = [(i, " ".join(f"og w{j} stein{j} elv{j}" for j in range(40) if j != 5 * i), None) for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    members, pairs = spotsigs.near_pairs(docs, scratch, 0.7, anchors=("og",))
+    prints = {r.doc_id: r.fingerprint for r in spotsigs.fingerprints(docs, scratch, ("og",)).collect()}
+    assert {r.doc_id: r.set_id for r in members.collect()} == {i: hashlib.md5(x.encode()).hexdigest() for i, x in prints.items()}
+    assert pairs.count() == 6
+
+
 # -- 5
 
 def check_pieces(pieces, rows, capacity):
