@@ -79,6 +79,52 @@ def test_article_with_two_categories_sends_whole_weight_to_each(spark):
     assert {r.w for r in graph.filter("kind = 'article_category'").collect()} == {1.0}
 
 
+# every state is replayed, none written
+REPLAYED = {"state_bytes": 0, "labels": 2}
+
+
+@pytest.mark.parametrize("seed, threshold, rounds", [(1, 0.15, 6), (2, 0.02, 6), (2, -1.0, 1), (2, -1.0, 0), (2, -1.0, 3)])
+def test_replayed_states_same_as_the_model(spark, monkeypatch, seed, threshold, rounds):
+    """States that are too large to be written: nothing of them is, and both states are those of the model."""
+    saved = []
+    save = Scratch.save
+    monkeypatch.setattr(Scratch, "save", lambda self, df, name, *options: saved.append(name) or save(self, df, name, *options))
+    links, seeds = random_graph(seed), ["n0", "n3", "n5", "alone"]
+    before, after = propagation.last_two(seeds_of(spark, seeds), frame(spark, links), rounds, threshold, **REPLAYED)
+    assert [x for x in saved if x.startswith("state-")] == ["state-0"]
+    assert result(after) == pytest.approx(model(seeds, links, rounds, threshold))
+    if threshold < 0:
+        assert result(before) == pytest.approx(model(seeds, links, max(rounds - 1, 0), threshold))
+    keep = spark.createDataFrame([("n2",), ("n4",), ("n99",)], "node string")
+    some = result(propagation.propagate(seeds_of(spark, seeds), frame(spark, links), rounds, threshold, keep, **REPLAYED))
+    assert some == pytest.approx({k: w for k, w in model(seeds, links, rounds, threshold).items() if k[0] in ("n2", "n4")})
+
+
+def test_names_are_put_in_without_a_join(spark):
+    """A join of the pairs with the names would shuffle a row per pair."""
+    for sizes in ({}, REPLAYED):
+        labels = propagation.propagate(seeds_of(spark, ["n0", "n1"]), frame(spark, random_graph(5)), **sizes)
+        assert "Join" not in labels._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("sizes", [{}, REPLAYED, {"local_nodes": 0, "part_nodes": 4, "labels": 2}], ids=str)
+@pytest.mark.parametrize("rounds", [0, 1, 3])
+def test_packed_states_have_the_delta_of_their_pairs(spark, sizes, rounds):
+    """Also where a seed has no name, whose pair is equal to none."""
+    seeds = seeds_of(spark, ["n0", "n3", "n5", "alone", None])
+    before, after = propagation.last_two(seeds, frame(spark, random_graph(9)), rounds=rounds, threshold=-1.0, packed=True, **sizes)
+    for threshold in (-1.0, 0.05):
+        packed = propagation.label_delta(before, after, threshold)
+        want = propagation.label_delta(before.pairs(), after.pairs(), threshold)
+        assert packed.dtypes == want.dtypes
+        assert tuple(packed.first()) == pytest.approx(tuple(want.first()))
+
+
+def test_delta_of_packed_states_without_pairs_is_null(spark):
+    before, after = propagation.last_two(seeds_of(spark, []), frame(spark, []), rounds=2, threshold=-1.0, packed=True)
+    assert tuple(propagation.label_delta(before, after).first()) == (0, None)
+
+
 SPREAD = [{}, {"labels": 1}, {"local_nodes": 0, "part_nodes": 4, "labels": 2}, {"local_nodes": 0, "part_nodes": 100, "labels": 3}]
 
 
@@ -139,6 +185,21 @@ def test_standing_state_equals_the_full_run_after_each_batch(spark, sizes):
         assert got == pytest.approx(model(seeds, rows, 5, 0.05))
 
 
+def test_standing_state_that_is_too_large_is_not_kept(spark, monkeypatch):
+    """The same results as the full run after each batch, without a written state, also when states grow beyond the limit."""
+    saved = []
+    save = Scratch.save
+    monkeypatch.setattr(Scratch, "save", lambda self, df, name, *options: saved.append(name) or save(self, df, name, *options))
+    rows = random_graph(8)
+    for limit, written in ((0, 0), (15 * 8 * 3, 5)):
+        saved.clear()
+        standing = propagation.Standing(rounds=5, threshold=-1.0, labels=2, state_bytes=limit)
+        for seeds in (["n0", "n3"], ["n0", "n3", "n5", "n6"], ["n0", "n3", "n5", "n6", "n7"]):
+            got = result(standing.update(seeds_of(spark, seeds), frame(spark, rows)))
+            assert got == pytest.approx(model(seeds, rows, 5, -1.0))
+        assert sum(x.startswith("state-") and x != "state-0" for x in saved) == written
+
+
 def test_work_falls_with_what_a_change_reaches(spark):
     """Twenty groups without edges between them: a change in one leaves the nodes of the others alone."""
     rows = [(f"g{k}-{a[1:]}", f"g{k}-{b[1:]}", w) for k in range(20) for a, b, w in random_graph(k, n=8, m=15)]
