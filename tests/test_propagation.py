@@ -291,6 +291,25 @@ def test_rank_same_as_the_model(spark, chunk_rows):
     assert result == pytest.approx(ranks)
 
 
+@pytest.mark.parametrize("sizes", [{}, {"part_nodes": 3, "chunk_rows": 2}], ids=str)
+def test_packed_ranks_equal_those_by_joins(spark, monkeypatch, sizes):
+    """Repeated edges, vertices that are null, a vertex that all have an edge to; a round is one stage and shuffles nothing."""
+    rng = random.Random(11)
+    links = [(rng.randrange(20), rng.randrange(20)) for _ in range(60)] + [(i, 0) for i in range(20)] + [(3, None), (None, 4), (None, None), (3, None)]
+    rounds = []
+    monkeypatch.setattr(rank, "_round", lambda *a, f=rank._round: rounds.append(1) or f(*a))
+    for most, dmax in ((0, 0.001), (1, 0.001), (3, 0.0), (25, 0.01)):
+        want = {r.v: r.r for r in rank.social_rank(network(spark, links), most, dmax, local_nodes=0).collect()}
+        assert bool(rounds) == bool(most)
+        rounds.clear()
+        got = {r.v: r.r for r in rank.social_rank(network(spark, links), most, dmax, **sizes).collect()}
+        assert got == pytest.approx(want) and not rounds
+    assert rank.social_rank(network(spark, []), dmax=0.1).collect() == []
+    assert rank.social_rank(network(spark, [(None, None)]), dmax=0.1).collect() == []
+    names = spark.createDataFrame([("a", "b"), ("b", "a"), ("a", "c")], "src string, dst string")
+    assert rank.social_rank(names, 3).dtypes == [("v", "string"), ("r", "double")]
+
+
 def test_top_ranks_break_ties_by_vertex(spark):
     ranks = spark.createDataFrame([(3, 1.0), (1, 1.0), (2, 5.0)], "v bigint, r double")
     assert [r.v for r in rank.top_ranks(ranks, 2).collect()] == [2, 1]
